@@ -38,16 +38,18 @@ def require_rows(df: DataFrame) -> DataFrame:
 def reject_reason(typed: DataFrame, label_required: bool = True) -> Column:
     """First reason for which a coerced row cannot be used; NULL for a usable row."""
     needed = [name for name in REQUIRED_VALUES if label_required or name != LABEL]
-    reasons = [F.when(F.col(name).isNull() | _is_nan(typed, name), F.lit(name)) for name in needed]
+    reasons = [F.when(_missing(typed, name), F.lit(name)) for name in needed]
     if "bad_json" in typed.columns:
         reasons.insert(0, F.when(F.col("bad_json"), F.lit("bad_json")))
     return F.coalesce(*reasons)
 
 
-def _is_nan(typed: DataFrame, name: str) -> Column:
+def _missing(typed: DataFrame, name: str) -> Column:
+    """NULL, or NaN in a floating-point column."""
+    value = F.col(name)
     if typed.schema[name].dataType.typeName() in ("double", "float"):
-        return F.isnan(name)
-    return F.lit(False)
+        value = F.nanvl(value, F.lit(None).cast("double"))
+    return value.isNull()
 
 
 def clean(typed: DataFrame, label_required: bool = True) -> DataFrame:
