@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session("txguard-score-batch")
     loaded = load_package(spark, options.package)
-    clean, rejects = route(common.batch_messages(spark, options), label_required=False)
+    clean, rejects = route(common.batch_messages(spark, options), for_training=False)
     if options.rejects:
         rejects.write.mode("append").parquet(options.rejects)
     scored = apply_threshold(score_with_model(add_features(clean), loaded.model), loaded.threshold)

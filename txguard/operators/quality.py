@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txguard.functions.coercion import to_number, to_utc
+from txguard.operators.barrier import evaluate_once
 from txguard.operators.decode import coerce_types
 from txguard.schema import FIELDS, LABEL
 
@@ -35,12 +36,17 @@ def require_rows(df: DataFrame) -> DataFrame:
     return df
 
 
-def reject_reason(typed: DataFrame, label_required: bool = True) -> Column:
-    """First reason for which a coerced row cannot be used; NULL for a usable row."""
+def reject_reason(typed: DataFrame, label_required: bool = True, binary_label: bool = False) -> Column:
+    """First reason for which a coerced row cannot be used; NULL for a usable row.
+
+    ``binary_label`` also refuses labels other than 0 and 1, which no classifier can be fitted on.
+    """
     needed = [name for name in REQUIRED_VALUES if label_required or name != LABEL]
     reasons = [F.when(_missing(typed, name), F.lit(name)) for name in needed]
     if "bad_json" in typed.columns:
         reasons.insert(0, F.when(F.col("bad_json"), F.lit("bad_json")))
+    if binary_label:
+        reasons.append(F.when(~F.col(LABEL).isin(0, 1), F.lit(LABEL)))
     return F.coalesce(*reasons)
 
 
@@ -54,8 +60,8 @@ def _missing(typed: DataFrame, name: str) -> Column:
 
 def clean(typed: DataFrame, label_required: bool = True) -> DataFrame:
     """Usable rows only, with the record fields and any carried columns."""
-    reason = reject_reason(typed, label_required)
-    return typed.filter(reason.isNull()).drop("bad_json", "raw_text")
+    kept = [name for name in typed.columns if name not in ("bad_json", "raw_text")]
+    return _with_reason(typed, label_required).filter(F.col("reason").isNull()).select(*kept)
 
 
 def rejects(raw: DataFrame, label_required: bool = True) -> DataFrame:
@@ -63,12 +69,17 @@ def rejects(raw: DataFrame, label_required: bool = True) -> DataFrame:
     return tag_reasons(raw, label_required).filter(F.col("reason").isNotNull())
 
 
-def tag_reasons(raw: DataFrame, label_required: bool = True) -> DataFrame:
+def tag_reasons(raw: DataFrame, label_required: bool = True, binary_label: bool = False) -> DataFrame:
     """Text-typed rows plus ``reason``; write it partitioned by reason to route both ways in one pass."""
-    renamed = raw.select(F.struct(*FIELDS).alias("_raw"), "*")
-    typed = coerce_types(renamed)
+    typed = coerce_types(raw.select(F.struct(*FIELDS).alias("_raw"), "*"))
     carried = [name for name in raw.columns if name not in FIELDS and name != "bad_json"]
-    return typed.select("_raw.*", *carried, reject_reason(typed, label_required).alias("reason"))
+    return _with_reason(typed, label_required, binary_label).select("_raw.*", *carried, "reason")
+
+
+def _with_reason(typed: DataFrame, label_required: bool, binary_label: bool = False) -> DataFrame:
+    """The reason is fixed before it is filtered on, else every field would be coerced twice."""
+    judged = typed.withColumn("_reason", reject_reason(typed, label_required, binary_label))
+    return evaluate_once(judged, "reason", F.col("_reason")).drop("_reason")
 
 
 def reject_reasons(raw: DataFrame, label_required: bool = True) -> DataFrame:

@@ -7,24 +7,17 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txguard.functions.decision import decide
+from txguard.operators.barrier import evaluate_once
 from txguard.schema import FEATURES
 
 SCORE = "fraud_probability"
 PREDICTION = "prediction"
 
 
-def evaluate_once(df: DataFrame, name: str, column: Column) -> DataFrame:
-    """Add a costly column so that a later filter on it does not compute it a second time.
-
-    Filters are not pushed through a generator, and exploding a one-element array keeps every row.
-    """
-    return df.select("*", F.explode(F.array(column)).alias(name))
-
-
 def score_with_model(features: DataFrame, model: Model, score: str = SCORE) -> DataFrame:
     """Probability of class 1 from a fitted Spark ML model. Stays in the JVM."""
     probability = vector_to_array("probability")[1]

@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from txguard.operators.decode import coerce_types, decode_json
 from txguard.operators.quality import require_columns, require_rows, tag_reasons
 from txguard.schema import FIELDS
-from txguard.session import materialise
+from txguard.session import materialise, spread
 
 
-def route(messages: DataFrame, label_required: bool = True) -> tuple[DataFrame, DataFrame]:
-    """``(clean, rejects)`` of a batch of messages.
+def route(messages: DataFrame, for_training: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``(clean, rejects)`` of a batch of messages; training asks for a label of 0 or 1.
 
     The decoded rows are written once, partitioned by usability; each side then reads only its own
     folder. Raises on an empty source.
     """
-    tagged = tag_reasons(decode_json(messages), label_required)
+    tagged = tag_reasons(decode_json(spread(messages)), for_training, for_training)
     routed = materialise(tagged.withColumn("usable", F.col("reason").isNull()), "routed", ["usable"])
     require_rows(routed)
     clean = coerce_types(routed.filter("usable")).select(*FIELDS)

@@ -14,7 +14,7 @@ from txguard.operators import balance, cap, decode, featurize, metrics, patterns
 from txguard.plans import scoring as scoring_plan
 from txguard.plans import training, views
 from txguard.schema import FIELDS, LABEL
-from txguard.session import prepare, work_path
+from txguard.session import prepare, spread, work_path
 from txguard.sources import package
 from txguard.sources import run_log as runs
 from txguard.sources.tables import read_table, stream_table
@@ -59,12 +59,17 @@ def _tx(spark: SparkSession, directory: str) -> DataFrame:
     return views.transactions(spark, directory)
 
 
-def _raw(spark: SparkSession, directory: str) -> DataFrame:
-    return views.raw_fields(_tx(spark, directory))
+def _spread_tx(spark: SparkSession, directory: str) -> DataFrame:
+    """The same rows for the parsing and fitting queries, on all cores however few splits the table has."""
+    return spread(_tx(spark, directory), scan=read_table(spark, directory, "events"))
+
+
+def _messages(spark: SparkSession, directory: str) -> DataFrame:
+    return views.messages(views.raw_fields(_spread_tx(spark, directory)))
 
 
 def _decoded(spark: SparkSession, directory: str) -> DataFrame:
-    return decode.decode_json(views.messages(_raw(spark, directory)))
+    return decode.decode_json(_messages(spark, directory))
 
 
 def _scored(spark: SparkSession, directory: str) -> DataFrame:
@@ -166,7 +171,7 @@ def feature_table(spark, directory):
 @query
 def message_feature_table(spark, directory):
     """From dirty messages to the feature table, the way training reads them."""
-    featured = scoring_plan.messages_to_features(views.messages(_raw(spark, directory)), label_required=True)
+    featured = scoring_plan.messages_to_features(_messages(spark, directory), label_required=True)
     return rounded(featured.select("transaction_id", *featurize.FEATURES, LABEL))
 
 
@@ -441,35 +446,26 @@ def stream_progress(spark, directory):
 
 
 def _learnable(spark, directory):
-    return views.learnable(_tx(spark, directory))
+    return views.learnable(_spread_tx(spark, directory))
 
 
 _quick_training = partial(training.train_evaluate, space=QUICK_SPACE, n_iter=2, folds=2, parallelism=2)
 
 
-def _encoded_train(spark, directory):
-    labelled = training.labelled_features(_learnable(spark, directory))
-    train = labelled.filter(F.col("split") == "train")
-    weight = balance.class_weight(train).first().positive_weight
-    encoder = training.fit_preprocessing(train)
-    return balance.add_weight(encoder.transform(labelled), weight)
-
-
 @query
 def train_gbt(spark, directory):
     """Feature importances of a model fitted on the training part, by input slot."""
-    train = _encoded_train(spark, directory).filter(F.col("split") == "train")
-    model = training.classifier(maxIter=5, maxDepth=3).fit(train.select("features", LABEL, "weight"))
+    prepared = training.prepare_table(_learnable(spark, directory))
+    model = training.classifier(maxIter=5, maxDepth=3).fit(prepared.train)
     importances = [(slot, float(value)) for slot, value in enumerate(model.featureImportances.toArray())]
     return rounded(spark.createDataFrame(importances, "slot int, importance double"))
 
 
 @query
 def search_results(spark, directory):
-    train = _encoded_train(spark, directory).filter(F.col("split") == "train")
-    table = balance.assign_fold(train, 2).select("features", LABEL, "weight", "fold")
+    prepared = training.prepare_table(_learnable(spark, directory), folds=2)
     points = training.draw_params(QUICK_SPACE, 2, training.SEED)
-    found = training.search(table, training.classifier(), points, folds=2, parallelism=2)
+    found = training.search(prepared.train, training.classifier(), points, folds=2, parallelism=2)
     return rounded(training.search_table(spark, found))
 
 

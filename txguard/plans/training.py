@@ -29,7 +29,7 @@ from txguard.operators.metrics import AveragePrecisionEvaluator
 from txguard.operators.ranked import best_threshold, evaluation_summary, ranked_cumulative
 from txguard.operators.scoring import SCORE, score_with_model
 from txguard.schema import FEATURES, LABEL, NUMERIC_FEATURES
-from txguard.session import materialise, shared_dir
+from txguard.session import materialise, shared_dir, spread
 
 # The searched lists. The learner has no counterpart for L1 and L2 terms.
 SEARCH_SPACE = {
@@ -53,6 +53,31 @@ VALIDATION_SHARE = 0.20
 MAX_LOCATIONS = 100_000
 
 
+@dataclass
+class Prepared:
+    """Assembled rows (features, label, weight, fold, split) and what was learned on the way."""
+
+    table: DataFrame
+    encoder: PipelineModel
+    positive_weight: float
+    counts: dict[tuple[str, int], int]
+
+    @property
+    def train(self) -> DataFrame:
+        return self.table.filter(F.col("split") == "train").select("features", LABEL, "weight", "fold")
+
+    @property
+    def held_out(self) -> DataFrame:
+        return self.table.filter(F.col("split") != "train")
+
+    def size(self, split: str) -> int:
+        return self.counts.get((split, 0), 0) + self.counts.get((split, 1), 0)
+
+    @property
+    def positives(self) -> int:
+        return sum(n for (_, label), n in self.counts.items() if label == 1)
+
+
 @dataclass
 class Trained:
     model: PipelineModel
@@ -60,8 +85,7 @@ class Trained:
     metrics: dict[str, float]
     params: dict[str, object]
     best_params: dict[str, object]
-    table: DataFrame = field(repr=False)
-    search: CrossValidatorModel | None = field(default=None, repr=False)
+    search: CrossValidatorModel = field(repr=False)
 
 
 def labelled_features(
@@ -156,70 +180,74 @@ def search_table(spark: SparkSession, found: CrossValidatorModel) -> DataFrame:
     return spark.createDataFrame(rows, "rank int, params string, mean_score double, std_score double")
 
 
-def train_evaluate(
+def prepare_table(
     tx: DataFrame,
-    space: Mapping[str, Sequence] = SEARCH_SPACE,
-    n_iter: int = N_ITER,
     folds: int = FOLDS,
     seed: int = SEED,
     test_share: float = TEST_SHARE,
     validation_share: float = VALIDATION_SHARE,
-    parallelism: int = PARALLELISM,
     high_risk: Sequence[str] = HIGH_RISK_MERCHANTS,
-    estimator: Estimator | None = None,
-) -> Trained:
-    """Full training run over clean transactions.
+) -> Prepared:
+    """Features, split, guard, weight and encoding; nothing is learned outside the training part.
 
-    The assembled rows are written once, partitioned by split: every fit and evaluation then reads
-    a narrow table and skips the other splits. Weights come from the training part only, the
-    threshold from the validation part, the metrics from the test part.
+    Both tables are written once, partitioned by split. Every later fit and evaluation then reads
+    narrow rows of the splits it needs instead of running the source again.
     """
-    spark = tx.sparkSession
-    shared_dir(spark)  # the learner checkpoints long boosting lineages there
     labelled = materialise(
-        labelled_features(tx, seed, test_share, validation_share, high_risk), "labelled", partition_by=["split"]
+        labelled_features(tx, seed, test_share, validation_share, high_risk), "labelled", ["split"]
     )
     counts = {(row.split, row[LABEL]): row.n for row in split_counts(labelled).collect()}
-    positive = sum(n for (_, label), n in counts.items() if label == 1)
-    rows = sum(counts.values())
-    require_positives(positive)
-
-    train_rows = labelled.filter(F.col("split") == "train")
-    weight = class_weight(train_rows).first().positive_weight
-    encoder = fit_preprocessing(train_rows)
-    assembled = assign_fold(add_weight(encoder.transform(labelled), weight), folds)
-    table = materialise(
-        assembled.select("transaction_id", "features", LABEL, "weight", "fold", "split"), "assembled", ["split"]
-    )
+    if not {label for _, label in counts} <= {0, 1}:
+        raise ValueError("the label has values other than 0 and 1")
+    require_positives(sum(n for (_, label), n in counts.items() if label == 1))
 
-    found = search(
-        table.filter(F.col("split") == "train").drop("split", "transaction_id"),
-        estimator or classifier(seed),
-        draw_params(space, n_iter, seed),
-        folds,
-        parallelism,
-    )
-    best = max(range(len(found.avgMetrics)), key=lambda i: found.avgMetrics[i])
-    best_params = {param.name: value for param, value in found.getEstimatorParamMaps()[best].items()}
+    train = labelled.filter(F.col("split") == "train")
+    weight = class_weight(train).first().positive_weight
+    encoder = fit_preprocessing(train)
+    encoded = encoder.transform(spread(labelled))
+    assembled = assign_fold(add_weight(encoded, weight), folds)
+    table = materialise(assembled.select("features", LABEL, "weight", "fold", "split"), "assembled", ["split"])
+    return Prepared(table, encoder, weight, counts)
 
-    held_out = score_with_model(table.filter(F.col("split") != "train"), found.bestModel)
-    ranked = ranked_cumulative(held_out, SCORE, by=["split"])
+
+def train_evaluate(
+    tx: DataFrame,
+    space: Mapping[str, Sequence] = SEARCH_SPACE,
+    n_iter: int = N_ITER,
+    folds: int = FOLDS,
+    seed: int = SEED,
+    parallelism: int = PARALLELISM,
+    estimator: Estimator | None = None,
+    **preparation,
+) -> Trained:
+    """Full training run over clean transactions.
+
+    Parameters are searched on the training part, the threshold is chosen on the validation part,
+    the metrics are those of the test part.
+    """
+    shared_dir(tx.sparkSession)  # the learner cuts long boosting lineages there
+    prepared = prepare_table(tx, folds, seed, **preparation)
+    points = draw_params(space, n_iter, seed)
+    found = search(prepared.train, estimator or classifier(seed), points, folds, parallelism)
+    best = max(range(len(points)), key=lambda i: found.avgMetrics[i])
+
+    scores = score_with_model(prepared.held_out, found.bestModel)
+    ranked = ranked_cumulative(scores, SCORE, by=["split"])
     threshold = best_threshold(ranked.filter(F.col("split") == "validation")).first().threshold
     summary = evaluation_summary(ranked.filter(F.col("split") == "test"), threshold).first()
 
-    sizes = {name: counts.get((name, 0), 0) + counts.get((name, 1), 0) for name in ("train", "validation", "test")}
+    rows = sum(prepared.counts.values())
     return Trained(
-        model=PipelineModel([*encoder.stages, found.bestModel]),
+        model=PipelineModel([*prepared.encoder.stages, found.bestModel]),
         threshold=threshold,
         metrics=summary.asDict(),
         params={
-            **{f"{name}_samples": n for name, n in sizes.items()},
-            "fraud_samples": positive,
-            "fraud_rate": positive / rows,
-            "positive_weight": weight,
+            **{f"{split}_samples": prepared.size(split) for split in ("train", "validation", "test")},
+            "fraud_samples": prepared.positives,
+            "fraud_rate": prepared.positives / rows,
+            "positive_weight": prepared.positive_weight,
         },
-        best_params=best_params,
-        table=table,
+        best_params=points[best],
         search=found,
     )
 

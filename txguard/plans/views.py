@@ -15,18 +15,16 @@ from txguard.sources.tables import read_table
 def transactions(spark: SparkSession, directory: str, events: DataFrame | None = None) -> DataFrame:
     """Events as transactions. ``events`` may be a stream of the same table.
 
-    Customer and nation are pruned to their join columns. Which side is broadcast is left to the
-    planner's own size check; a customer with a very large share of the events is split at run
-    time by adaptive skew-join handling.
+    Customer and nation are pruned to their join columns. Customer is joined first and on its own:
+    the planner then sees its true size and broadcasts it if that is small, where the estimate of
+    customer with nation would be the product of both. Beyond that it is a shuffled join, and a
+    customer with a very large share of the events is split at run time by adaptive skew handling.
     """
     if events is None:
         events = read_table(spark, directory, "events")
-    nation = read_table(spark, directory, "nation").select("n_nationkey", "n_regionkey")
-    place = (
-        read_table(spark, directory, "customer")
-        .select("c_custkey", "c_nationkey")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", F.concat(_letter("n_regionkey"), _letter("n_nationkey")).alias("location"))
+    customer = read_table(spark, directory, "customer").select("c_custkey", "c_nationkey")
+    nation = read_table(spark, directory, "nation").select(
+        "n_nationkey", F.concat(_letter("n_regionkey"), _letter("n_nationkey")).alias("location")
     )
     slim = events.select(
         "event_id", "user_id", "value", "ts", "event_type", F.get_json_object("props", "$.k").alias("k")
@@ -35,7 +33,10 @@ def transactions(spark: SparkSession, directory: str, events: DataFrame | None =
     merchant = F.concat(F.lit("M"), F.col("k"))
     for number in reversed(range(len(HIGH_RISK_MERCHANTS))):
         merchant = F.when(slot == number, F.lit(HIGH_RISK_MERCHANTS[number])).otherwise(merchant)
-    return slim.join(place, F.col("user_id") == F.col("c_custkey")).select(
+    placed = slim.join(customer, F.col("user_id") == F.col("c_custkey")).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    return placed.select(
         F.col("event_id").cast("string").alias("transaction_id"),
         (1000 + F.col("user_id") * 10 % 9000).cast("int").alias("user_id"),
         F.round(F.col("value") * 10, 2).alias("amount"),

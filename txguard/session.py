@@ -57,6 +57,18 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
+    """Deal the rows out to all cores when the input has fewer splits than that.
+
+    A file with one row group, or a capped read, would otherwise keep one core busy with all the
+    parsing or fitting. Inputs with enough splits pass through without a shuffle. ``scan`` is the
+    plain table scan to look at when ``df`` already has joins (default ``df`` itself).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = (df if scan is None else scan).rdd.getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once, keeping its partitions; survives lost executors."""
     shared_dir(df.sparkSession)

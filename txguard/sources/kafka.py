@@ -51,7 +51,9 @@ def _escaped(text: str) -> str:
     return text.replace("\\", "\\\\").replace('"', '\\"')
 
 
-def stream_options(settings: KafkaSettings, max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+def stream_options(
+    settings: KafkaSettings, max_offsets_per_trigger: int | None = None, min_partitions: int | None = None
+) -> dict[str, str]:
     """New messages only; expired offsets are not an error."""
     options = {
         **connection_options(settings),
@@ -61,6 +63,8 @@ def stream_options(settings: KafkaSettings, max_offsets_per_trigger: int | None
     }
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
@@ -92,7 +96,9 @@ def read_bounded(
     messages = spark.read.format("kafka").options(**batch_options(settings, **limits)).load()
     if max_messages is None:
         return messages
-    return cap_rows(messages, max_messages, ["timestamp", "partition", "offset"], keep)
+    capped = cap_rows(messages, max_messages, ["timestamp", "partition", "offset"], keep)
+    # a top-k ends in one partition; decoding should not
+    return capped.repartition(spark.sparkContext.defaultParallelism)
 
 
 def publish(messages: DataFrame, settings: KafkaSettings, topic: str | None = None) -> None:
