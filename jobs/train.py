@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> training.Trained:
     args.add_argument("--folds", type=int, default=training.FOLDS)
     args.add_argument("--parallelism", type=int, default=training.PARALLELISM)
     args.add_argument("--test-share", type=float, default=training.TEST_SHARE)
+    args.add_argument("--exact-split", action="store_true", help="exact class counts in every part")
     args.add_argument("--max-trees", type=int, help="leave longer ensembles out of the search")
     options = args.parse_args(argv)
 
@@ -48,6 +49,7 @@ def main(argv: list[str] | None = None) -> training.Trained:
         seed=options.seed,
         test_share=options.test_share,
         parallelism=options.parallelism,
+        exact=options.exact_split,
     )
 
     run_id = uuid.uuid4().hex

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txguard.operators.prefix import running_sums
@@ -16,15 +16,32 @@ TOP_K_ROWS = 1_000_000
 def cap_rows(
     df: DataFrame, n: int, order_by: Sequence[str], keep: str = "oldest", top_k_rows: int = TOP_K_ROWS
 ) -> DataFrame:
-    """The ``n`` oldest (or newest) rows; ``order_by`` must identify a row.
+    """The ``n`` oldest (or newest) rows; ``order_by`` must identify a row and hold no NULL.
 
-    A small cap is a top-k. A larger one is cut by running row counts over sorted ranges, so no
-    task ever holds the result.
+    A small cap is a top-k. For a larger one the key of the last kept row is found by running
+    counts over the keys alone, and the rows are then filtered by that key: no task holds the
+    result, and the other columns are never sorted or shuffled.
     """
     if keep not in ("oldest", "newest"):
         raise ValueError("keep is 'oldest' or 'newest'")
-    order = [F.col(name).asc() if keep == "oldest" else F.col(name).desc() for name in order_by]
+    oldest = keep == "oldest"
     if n <= top_k_rows:
-        return df.orderBy(*order).limit(n)
-    counted = running_sums(df.withColumn("_one", F.lit(1)), order, {"_position": "_one"})
-    return counted.filter(F.col("_position") <= n).select(*df.columns)
+        return df.orderBy(*[F.col(name).asc() if oldest else F.col(name).desc() for name in order_by]).limit(n)
+
+    keys = {f"_key{i}": _comparable(df, name) for i, name in enumerate(order_by)}
+    order = [F.col(name).asc() if oldest else F.col(name).desc() for name in keys]
+    slim = df.select(F.lit(1).alias("_one"), *[key.alias(name) for name, key in keys.items()])
+    counted = running_sums(slim, order, {"_position": "_one"})
+    last = counted.filter(F.col("_position") <= n).agg(F.max_by(F.struct(*keys), "_position").alias("key")).first().key
+    if last is None:
+        return df.limit(0)
+    key = F.struct(*[column.alias(name) for name, column in keys.items()])
+    cut = F.struct(*[F.lit(last[name]).alias(name) for name in keys])
+    return df.filter(key <= cut if oldest else key >= cut)
+
+
+def _comparable(df: DataFrame, name: str) -> Column:
+    """Timestamps as whole microseconds, so that the cut survives the way over the driver unchanged."""
+    if df.schema[name].dataType.typeName().startswith("timestamp"):
+        return F.unix_micros(F.col(name).cast("timestamp"))
+    return F.col(name)

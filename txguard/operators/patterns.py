@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from txguard.functions import rules
 from txguard.functions.features import HIGH_RISK_MERCHANTS
+from txguard.session import cut_lineage
 
 # A broadcast id list of this length stays near 10 MB.
 MAX_BROADCAST_IDS = 500_000
@@ -29,7 +30,8 @@ def mark_watch_list(
     one is joined by shuffle with every user spread over ``salts`` partitions, so one user with a
     large share of all rows does not end up in one task; the list is copied once per salt.
     """
-    ids = watch_list.select(F.col("user_id")).filter(F.col("user_id").isNotNull()).distinct()
+    # read twice, by the count and by the join: whatever made the list should not run twice
+    ids = cut_lineage(watch_list.select("user_id").filter(F.col("user_id").isNotNull()).distinct())
     marked = ids.withColumn(flag, F.lit(True))
     if ids.limit(max_broadcast + 1).count() <= max_broadcast:
         joined = df.join(F.broadcast(marked), "user_id", "left")

@@ -107,6 +107,25 @@ parted AS (
     FROM bucketed
 )"""
 
+# Part sizes are rounded up in total and split over the classes by largest remainder.
+EXACT_SPLIT = """
+classes AS (SELECT is_fraud, COUNT(*) AS n, CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS total FROM tx GROUP BY is_fraud),
+tested AS (
+    SELECT is_fraud, n, total, size, FLOOR(share) + CASE WHEN ROW_NUMBER() OVER (ORDER BY FLOOR(share) - share, is_fraud)
+           <= size - SUM(FLOOR(share)) OVER () THEN 1 ELSE 0 END AS test_n
+    FROM (SELECT *, CEIL(0.2 * total - 1e-9) AS size, CEIL(0.2 * total - 1e-9) * n / total AS share FROM classes)
+),
+remaining AS (SELECT is_fraud, test_n, n - test_n AS n, total - size AS total FROM tested),
+validated AS (
+    SELECT is_fraud, test_n, FLOOR(share) + CASE WHEN ROW_NUMBER() OVER (ORDER BY FLOOR(share) - share, is_fraud)
+           <= size - SUM(FLOOR(share)) OVER () THEN 1 ELSE 0 END AS validation_n
+    FROM (SELECT *, CEIL(0.25 * total - 1e-9) AS size, CEIL(0.25 * total - 1e-9) * n / total AS share FROM remaining)
+),
+placed AS (
+    SELECT transaction_id, is_fraud,
+           ROW_NUMBER() OVER (PARTITION BY is_fraud ORDER BY MD5('42:' || transaction_id)) AS place FROM tx
+)"""
+
 SCORED = """
 scored AS (
     SELECT transaction_id, is_fraud, split,
@@ -274,6 +293,12 @@ def oracles() -> dict[str, str]:
             BUCKETED,
         ),
         "stratified_split": _with("SELECT transaction_id, is_fraud, split FROM parted", BUCKETED),
+        "exact_split": _with(
+            "SELECT transaction_id, p.is_fraud, CASE WHEN place <= test_n THEN 'test' "
+            "WHEN place <= test_n + validation_n THEN 'validation' ELSE 'train' END AS split "
+            "FROM placed p JOIN validated v ON p.is_fraud = v.is_fraud",
+            EXACT_SPLIT,
+        ),
         "split_counts": _with("SELECT split, is_fraud, COUNT(*) AS n FROM parted GROUP BY split, is_fraud", BUCKETED),
         "fold_assignment": _with(
             "SELECT transaction_id, CAST((('0x' || SUBSTR(MD5('fold:' || transaction_id), 1, 8))::BIGINT % 10000) % 3 "

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from txguard.functions import features
 from txguard.operators import balance, cap, decode, featurize, metrics, patterns, quality, ranked, scoring
+from txguard.operators.exact_split import assign_exact_split
 from txguard.plans import scoring as scoring_plan
 from txguard.plans import training, views
 from txguard.schema import FIELDS, LABEL
@@ -251,6 +252,12 @@ def stratified_split(spark, directory):
     return balance.assign_split(_tx(spark, directory)).select("transaction_id", LABEL, "split")
 
 
+@query
+def exact_split(spark, directory):
+    """The split with exact class counts: the same rows as a full ranking by digest."""
+    return assign_exact_split(_tx(spark, directory)).select("transaction_id", LABEL, "split")
+
+
 @query
 def split_counts(spark, directory):
     return balance.split_counts(balance.assign_split(_tx(spark, directory)))

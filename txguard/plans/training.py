@@ -24,6 +24,7 @@ from txguard.operators.balance import (
     require_positives,
     split_counts,
 )
+from txguard.operators.exact_split import assign_exact_split
 from txguard.operators.featurize import add_features
 from txguard.operators.metrics import AveragePrecisionEvaluator
 from txguard.operators.ranked import best_threshold, evaluation_summary, ranked_cumulative
@@ -94,9 +95,14 @@ def labelled_features(
     test_share: float = TEST_SHARE,
     validation_share: float = VALIDATION_SHARE,
     high_risk: Sequence[str] = HIGH_RISK_MERCHANTS,
+    exact: bool = False,
 ) -> DataFrame:
-    """Clean transactions to id, model inputs, label and split, in one projection."""
-    split = assign_split(add_features(tx, high_risk), seed, test_share, validation_share)
+    """Clean transactions to id, model inputs, label and split, in one projection.
+
+    ``exact`` keeps the class counts of every part exact, at the price of two narrow passes.
+    """
+    assign = assign_exact_split if exact else assign_split
+    split = assign(add_features(tx, high_risk), seed, test_share, validation_share)
     return split.select("transaction_id", *FEATURES, LABEL, "split")
 
 
@@ -187,6 +193,7 @@ def prepare_table(
     test_share: float = TEST_SHARE,
     validation_share: float = VALIDATION_SHARE,
     high_risk: Sequence[str] = HIGH_RISK_MERCHANTS,
+    exact: bool = False,
 ) -> Prepared:
     """Features, split, guard, weight and encoding; nothing is learned outside the training part.
 
@@ -194,7 +201,7 @@ def prepare_table(
     narrow rows of the splits it needs instead of running the source again.
     """
     labelled = materialise(
-        labelled_features(tx, seed, test_share, validation_share, high_risk), "labelled", ["split"]
+        labelled_features(tx, seed, test_share, validation_share, high_risk, exact), "labelled", ["split"]
     )
     counts = {(row.split, row[LABEL]): row.n for row in split_counts(labelled).collect()}
     if not {label for _, label in counts} <= {0, 1}:
