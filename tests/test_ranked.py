@@ -128,15 +128,3 @@ def test_no_window_over_the_whole_ranked_table(spark):
     plan = table(spark, CASES["distinct"])._jdf.queryExecution().executedPlan().toString()
     big = [line for line in plan.splitlines() if "Window [" in line and "_range" in line and "score" in line]
     assert big and all("[_range" in line.split("Window")[1] for line in big)
-
-
-def test_cap(spark):
-    rows = spark.range(1000).select(F.pmod(F.col("id") * 617, F.lit(1000)).alias("t"), "id")
-    for keep, expected in (("oldest", range(100)), ("newest", range(900, 1000))):
-        small = cap.cap_rows(rows, 100, ["t", "id"], keep)
-        large = cap.cap_rows(rows, 100, ["t", "id"], keep, top_k_rows=0)
-        assert sorted(r.t for r in small.collect()) == list(expected)
-        assert sorted(r.t for r in large.collect()) == list(expected)
-    assert cap.cap_rows(rows, 5000, ["t"]).count() == 1000
-    with pytest.raises(ValueError):
-        cap.cap_rows(rows, 1, ["t"], keep="middle")

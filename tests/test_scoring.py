@@ -36,7 +36,7 @@ def test_python_model_runs_once(spark, small):
     messages = views.clean_messages(views.transactions(spark, small))
 
     def scorer(features):
-        return scoring.score_with_python(features, predict=views.fixed_score_batch)
+        return scoring.score_with_python(features, predict=views.fixed_score_model())
 
     plan = alerts(score_messages(messages, scorer, 0.5))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
@@ -46,7 +46,7 @@ def test_python_model_runs_once(spark, small):
 def test_both_ways_of_the_fixed_score_agree(spark, small):
     features = add_features(views.transactions(spark, small))
     in_jvm = features.withColumn("fraud_probability", views.fixed_score())
-    in_python = scoring.score_with_python(features, predict=views.fixed_score_batch)
+    in_python = scoring.score_with_python(features, predict=views.fixed_score_model())
     a, b = (df.select("transaction_id", F.round("fraud_probability", 9).alias("p")) for df in (in_jvm, in_python))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from txguard.operators.prefix import running_sums
@@ -18,9 +19,9 @@ def cap_rows(
 ) -> DataFrame:
     """The ``n`` oldest (or newest) rows; ``order_by`` must identify a row and hold no NULL.
 
-    A small cap is a top-k. For a larger one the key of the last kept row is found by running
-    counts over the keys alone, and the rows are then filtered by that key: no task holds the
-    result, and the other columns are never sorted or shuffled.
+    A small cap is a top-k. For a larger one only the key of the last kept row is looked up, and
+    the rows are then filtered by that key: no task holds the result, and the other columns are
+    never sorted or shuffled.
     """
     if keep not in ("oldest", "newest"):
         raise ValueError("keep is 'oldest' or 'newest'")
@@ -28,18 +29,45 @@ def cap_rows(
     if n <= top_k_rows:
         return df.orderBy(*[F.col(name).asc() if oldest else F.col(name).desc() for name in order_by]).limit(n)
 
-    keys = {f"_key{i}": _comparable(df, name) for i, name in enumerate(order_by)}
-    order = [F.col(name).asc() if oldest else F.col(name).desc() for name in keys]
-    slim = df.select(F.lit(1).alias("_one"), *[key.alias(name) for name, key in keys.items()])
-    counted = running_sums(slim, order, {"_position": "_one"})
-    last = counted.filter(F.col("_position") <= n).agg(F.max_by(F.struct(*keys), "_position").alias("key")).first().key
-    if last is None:
-        return df.limit(0)
-    key = F.struct(*[column.alias(name) for name, column in keys.items()])
-    cut = F.struct(*[F.lit(last[name]).alias(name) for name in keys])
+    columns = {f"_key{i}": _comparable(df, name) for i, name in enumerate(order_by)}
+    keys = df.select(*[column.alias(name) for name, column in columns.items()])
+    total, grid = _grid(keys)
+    if n >= total:
+        return df
+    last = _key_at(keys, n if oldest else total - n + 1, total, grid)
+    key = F.struct(*[column.alias(name) for name, column in columns.items()])
+    cut = F.struct(*[F.lit(last[name]).alias(name) for name in columns])
     return df.filter(key <= cut if oldest else key >= cut)
 
 
+def _grid(keys: DataFrame) -> tuple[int, list | None]:
+    """Row count and, for a numeric first key, its approximate percentiles."""
+    if keys.schema["_key0"].dataType.typeName() not in ("byte", "short", "integer", "long", "double", "float"):
+        return keys.count(), None
+    shares = [i / 100 for i in range(101)]
+    row = keys.agg(F.count("*").alias("total"), F.percentile_approx("_key0", shares).alias("grid")).first()
+    return row.total, row.grid
+
+
+def _key_at(keys: DataFrame, position: int, total: int, grid: list | None) -> Row:
+    """The key at a 1-based position in ascending order.
+
+    The percentiles say where it lies give or take a percent. Only the keys between are ranked,
+    after an exact count of those below; if the position is not among them, all keys are.
+    """
+    below = 0
+    if grid is not None:
+        share = 100 * position / total
+        low, high = grid[max(floor(share) - 1, 0)], grid[min(ceil(share) + 1, 100)]
+        near = F.col("_key0").between(low, high)
+        counts = keys.agg(F.count_if(F.col("_key0") < low).alias("below"), F.count_if(near).alias("near")).first()
+        if counts.below < position <= counts.below + counts.near:
+            keys, below = keys.filter(near), counts.below
+    names = keys.columns
+    counted = running_sums(keys.withColumn("_one", F.lit(1)), [F.col(name) for name in names], {"_position": "_one"})
+    return counted.filter(F.col("_position") == position - below).select(*names).first()
+
+
 def _comparable(df: DataFrame, name: str) -> Column:
     """Timestamps as whole microseconds, so that the cut survives the way over the driver unchanged."""
     if df.schema[name].dataType.typeName().startswith("timestamp"):

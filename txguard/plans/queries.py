@@ -384,7 +384,7 @@ def fraud_messages(spark, directory):
 @query
 def udf_score(spark, directory):
     featured = featurize.add_features(_tx(spark, directory))
-    scored = scoring.score_with_python(featured, predict=views.fixed_score_batch)
+    scored = scoring.score_with_python(featured, predict=views.fixed_score_model())
     decided = scoring.apply_threshold(scored, FIXED_THRESHOLD)
     return rounded(scoring.fraud_only(decided).select("transaction_id", scoring.SCORE, scoring.PREDICTION))
 

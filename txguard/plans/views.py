@@ -115,14 +115,21 @@ def fixed_score():
     return points.cast("double") / 1000
 
 
-def fixed_score_batch(batch):
-    """The same score over a batch of inputs, for the Python-model adapter."""
-    points = (
-        200 * batch["merchant_risk"]
-        + 300 * batch["amount_over_500"]
-        + 150 * batch["is_night"]
-        + 100 * batch["is_weekend"]
-        + 50 * batch["user_id_divisible_500"]
-        + 5 * batch["transaction_hour"]
-    )
-    return points / 1000.0
+def fixed_score_model():
+    """The same score as a function of a batch of inputs, for the Python-model adapter.
+
+    Made here and not at module level so that it travels to the workers by value.
+    """
+
+    def predict(batch):
+        points = (
+            200 * batch["merchant_risk"]
+            + 300 * batch["amount_over_500"]
+            + 150 * batch["is_night"]
+            + 100 * batch["is_weekend"]
+            + 50 * batch["user_id_divisible_500"]
+            + 5 * batch["transaction_hour"]
+        )
+        return points / 1000.0
+
+    return predict

@@ -27,4 +27,5 @@ def stream_table(spark: SparkSession, directory: str, name: str, max_files_per_t
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(directory)
+    # a stream needs a folder or a pattern; this pattern fits a single file and a folder of files alike
+    return reader.parquet(f"{directory}/{name}.parque[t]")
