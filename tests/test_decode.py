@@ -1,5 +1,8 @@
+import random
+import re
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +61,18 @@ def test_numbers(spark):
     assert coerced(spark, "amount", *texts) == expected
 
 
+def test_numbers_are_read_as_pandas_reads_them(spark):
+    source = random.Random(3)
+    texts = {"".join(source.choice("0123456789.e-+dDfFxX ina_,") for _ in range(source.randint(0, 6))) for _ in range(3000)}
+    texts = sorted(text for text in texts if not re.search(r"[eE][+-]?\d{3}", text))  # overflow is infinite here, missing there
+    expected = [pd.to_numeric(pd.Series([text], dtype=object), errors="coerce")[0] for text in texts]
+    wanted = [None if pd.isna(value) else float(value) for value in expected]
+    got = coerced(spark, "amount", *texts)
+    assert [value is None for value in got] == [value is None for value in wanted]
+    assert [value for value in got if value is not None] == pytest.approx([value for value in wanted if value is not None])
+    assert sum(value is not None for value in wanted) > 100
+
+
 def test_integers_are_narrowed_towards_zero(spark):
     assert coerced(spark, "user_id", "7", "1000.0", "1000.9", "-0.9", "inf", "3000000000", "x") == [
         7, 1000, 1000, 0, None, None, None,
@@ -74,6 +89,9 @@ def test_every_iso_form_is_read_as_utc(spark):
         "2024-05-01 23:30:00+02:00": "2024-05-01 21:30:00",
         "2024-05-02T01:00:00+02:00": "2024-05-01 23:00:00",
         "2024-05-01": "2024-05-01 00:00:00",
+        "20240501": "2024-05-01 00:00:00",
+        "20240501T233000": "2024-05-01 23:30:00",
+        "20240501T233000+02:00": "2024-05-01 21:30:00",
     }
     rows = spark.createDataFrame([(text,) for text in texts], "timestamp string")
     raw = rows.select(*[F.col(n) if n == "timestamp" else F.lit(None).cast("string").alias(n) for n in FIELDS])

@@ -23,6 +23,10 @@ def to_int(text: Column) -> Column:
     return to_number(text).try_cast("int")
 
 
+# Compact ISO form, such as 20240501T233000Z.
+BASIC_ISO = "yyyyMMdd['T'HHmmss[XXX]]"
+
+
 def to_utc(text: Column) -> Column:
     """Any ISO date or date-time; without an offset it is UTC (the session zone).
 
@@ -31,4 +35,4 @@ def to_utc(text: Column) -> Column:
     trimmed = F.trim(text)
     colon = F.instr(trimmed, ":")
     dated = ~trimmed.startswith("T") & ((colon == 0) | (colon > len("2024-1-1")))
-    return F.when(dated, text.try_cast("timestamp"))
+    return F.when(dated, F.coalesce(text.try_cast("timestamp"), F.try_to_timestamp(trimmed, F.lit(BASIC_ISO))))
