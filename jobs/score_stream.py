@@ -14,13 +14,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from pyspark.sql.streaming import StreamingQuery  # noqa: E402
 
 from jobs import common  # noqa: E402
-from txguard.operators.decode import decode_json  # noqa: E402
-from txguard.operators.quality import rejects  # noqa: E402
 from txguard.plans.scoring import alerts, model_scorer, score_messages  # noqa: E402
 from txguard.session import get_session  # noqa: E402
 from txguard.sources import kafka  # noqa: E402
 from txguard.sources.package import load_package  # noqa: E402
-from txguard.streaming.sinks import file_writer  # noqa: E402
+from txguard.streaming.sinks import file_writer, progress_table, reject_stream  # noqa: E402
 
 
 def main(argv: list[str] | None = None) -> list[StreamingQuery]:
@@ -29,6 +27,7 @@ def main(argv: list[str] | None = None) -> list[StreamingQuery]:
     args.add_argument("--alerts", help="output directory; without it alerts go to the output topic")
     args.add_argument("--exclude", nargs="*", default=[], help="columns left out of the alerts, such as is_fraud")
     args.add_argument("--max-offsets-per-trigger", type=int)
+    args.add_argument("--progress", help="directory of the progress table, written when the stream ends")
     args.add_argument("--available-now", action="store_true", help="process what is there and stop")
     options = args.parse_args(argv)
 
@@ -41,14 +40,16 @@ def main(argv: list[str] | None = None) -> list[StreamingQuery]:
     else:
         writers = [kafka.alert_writer(found, common.settings(options), options.checkpoint)]
     if options.rejects:
-        unusable = rejects(decode_json(messages), label_required=False)
-        writers.append(file_writer(unusable, options.rejects, f"{options.checkpoint}-rejects"))
+        writers.append(file_writer(reject_stream(messages), options.rejects, f"{options.checkpoint}-rejects"))
 
     if options.available_now:
         writers = [writer.trigger(availableNow=True) for writer in writers]
     running = [writer.start() for writer in writers]
     for query in running:
         query.awaitTermination()
+    if options.progress:
+        # the last stream is the one that counts messages, if there is a quarantine
+        progress_table(spark, running[-1]).write.mode("append").parquet(options.progress)
     return running
 
 

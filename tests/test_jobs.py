@@ -39,7 +39,8 @@ def test_scoring_jobs_agree(spark, home):
     score_stream.main(
         [
             *common, "--alerts", str(home / "stream"), "--rejects", str(home / "stream_rejects"),
-            "--checkpoint", str(home / "state"), "--available-now", "--exclude", "is_fraud",
+            "--checkpoint", str(home / "state"), "--available-now", "--progress", str(home / "progress"),
+            "--exclude", "is_fraud",
         ]
     )
     batch = spark.read.parquet(str(home / "batch"))
@@ -49,3 +50,5 @@ def test_scoring_jobs_agree(spark, home):
     assert "is_fraud" in json.loads(batch.first().value) and "is_fraud" not in json.loads(stream.first().value)
     rejects = [spark.read.parquet(str(home / name)).count() for name in ("batch_rejects", "stream_rejects")]
     assert rejects == [624, 624]
+    seen = spark.read.parquet(str(home / "progress")).selectExpr("sum(messages)", "sum(unusable)").first()
+    assert tuple(seen) == (10_000, 624)

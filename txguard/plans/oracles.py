@@ -207,6 +207,29 @@ predicted AS (
     SELECT *, CASE WHEN fraud_probability >= 0.5 THEN 1 ELSE 0 END AS prediction FROM decided
 )"""
 
+# The learnable label, its training weight, and the sums of all numeric inputs per part.
+TRAINING = f"""
+learnable AS (
+    SELECT transaction_id, user_id, amount, merchant, "timestamp", location, split,
+           CASE WHEN (merchant IN ('QuickCash', 'GlobalDigital', 'FastMoneyX') AND amount > 300) <> (bucket < 150)
+                THEN 1 ELSE 0 END AS is_fraud
+    FROM parted
+),
+inputs AS (
+    SELECT split, is_fraud, {ALL_FEATURES.replace("ROUND(LN(1 + GREATEST(amount, 0)), 6)", "LN(1 + GREATEST(amount, 0))")}
+    FROM learnable
+),
+known AS (SELECT DISTINCT location FROM inputs WHERE split = 'train'),
+weighing AS (
+    SELECT COUNT(*) FILTER (WHERE is_fraud = 0) / CAST(COUNT(*) FILTER (WHERE is_fraud = 1) AS DOUBLE) AS w
+    FROM inputs WHERE split = 'train'
+)"""
+
+NUMERIC = (
+    "amount amount_log amount_over_500 amount_over_1000 transaction_hour is_night is_weekend transaction_day "
+    "user_id_mod_500 user_id_mod_1000 user_id_divisible_500 user_id_divisible_1000 merchant_risk"
+).split()
+
 ALERTS = """
 SELECT transaction_id AS "key", transaction_id, user_id, amount, merchant, location, is_fraud,
        transaction_hour, amount_log, ROUND(fraud_probability, 6) AS fraud_probability, prediction
@@ -383,6 +406,16 @@ def oracles() -> dict[str, str]:
         "stream_features": _with(MESSAGE_FEATURES, RAW),
         "stream_score_files": _with(ALERTS, DECIDED),
         "stream_rejects": _with(REJECTED, RAW),
+        "training_table": _with(
+            "SELECT split, COUNT(*) AS n, CAST(SUM(is_fraud) AS BIGINT) AS positives, "
+            "ROUND(SUM(CASE WHEN is_fraud = 1 THEN w ELSE 1.0 END), 3) AS weight, "
+            "ROUND(CAST(COUNT(known.location) AS DOUBLE), 3) AS located, "
+            + ", ".join(f"ROUND(SUM(CAST({name} AS DOUBLE)), 3) AS {name}" for name in NUMERIC)
+            + " FROM weighing, inputs LEFT JOIN known ON inputs.location = known.location GROUP BY split",
+            BUCKETED,
+            TRAINING,
+        ),
+        "stream_batch_parity": _with("SELECT COUNT(*) AS streamed, CAST(0 AS BIGINT) AS mismatches FROM tx"),
         "stream_progress": _with(
             "SELECT (SELECT COUNT(*) FROM events) AS input_rows, COUNT(*) AS messages, COUNT(reason) AS unusable FROM reasoned",
             RAW,

@@ -14,7 +14,7 @@ from txguard.operators import balance, cap, decode, featurize, metrics, patterns
 from txguard.operators.exact_split import assign_exact_split
 from txguard.plans import scoring as scoring_plan
 from txguard.plans import training, views
-from txguard.schema import FIELDS, LABEL
+from txguard.schema import FIELDS, LABEL, NUMERIC_FEATURES
 from txguard.session import prepare, spread, work_path
 from txguard.sources import package
 from txguard.sources import run_log as runs
@@ -459,6 +459,23 @@ def _learnable(spark, directory):
 _quick_training = partial(training.train_evaluate, space=QUICK_SPACE, n_iter=2, folds=2, parallelism=2)
 
 
+@query
+def training_table(spark, directory):
+    """What the learner is given, per part: rows, weights, filled location slots, sum of every numeric input."""
+    prepared = training.prepare_table(_learnable(spark, directory))
+    slots = len(prepared.encoder.stages[0].labels)
+    inputs = vector_to_array("features")
+    flat = prepared.table.select(
+        "split",
+        LABEL,
+        "weight",
+        F.aggregate(F.slice(inputs, 1, slots), F.lit(0.0), lambda total, x: total + x).alias("located"),
+        *[inputs[slots + i].alias(name) for i, name in enumerate(NUMERIC_FEATURES)],
+    )
+    sums = [F.sum(name).alias(name) for name in ("weight", "located", *NUMERIC_FEATURES)]
+    return rounded(flat.groupBy("split").agg(F.count("*").alias("n"), F.sum(LABEL).alias("positives"), *sums), 3)
+
+
 @query
 def train_gbt(spark, directory):
     """Feature importances of a model fitted on the training part, by input slot."""
@@ -493,19 +510,38 @@ def score_batch(spark, directory):
     return rounded(decided.select("transaction_id", scoring.SCORE, scoring.PREDICTION))
 
 
-@query
-def stream_score_model(spark, directory):
-    """A trained pipeline inside the scoring stream."""
+def _small_model(spark, directory):
     labelled = training.labelled_features(_learnable(spark, directory))
     train = balance.add_weight(labelled.filter(F.col("split") == "train"), 1.0)
     stages = [*training.preprocessing(), training.classifier(maxIter=3, maxDepth=3)]
-    model = training.Pipeline(stages=stages).fit(train)
+    return training.Pipeline(stages=stages).fit(train)
+
+
+@query
+def stream_score_model(spark, directory):
+    """A trained pipeline inside the scoring stream."""
+    scorer = scoring_plan.model_scorer(_small_model(spark, directory))
     messages = views.clean_messages(_stream_tx(spark, directory))
-    scored = scoring_plan.score_messages(messages, scoring_plan.model_scorer(model), FIXED_THRESHOLD)
+    scored = scoring_plan.score_messages(messages, scorer, FIXED_THRESHOLD)
     rows, _ = _run_stream(scoring_plan.alerts(scored), "stream_score_model")
     return _parsed_alerts(rows)
 
 
+@query
+def stream_batch_parity(spark, directory):
+    """Rows scored by the stream, and how many of them the batch scores or decides otherwise."""
+    model = _small_model(spark, directory)
+    messages = views.clean_messages(_stream_tx(spark, directory))
+    streamed = scoring_plan.score_messages(messages, scoring_plan.model_scorer(model), FIXED_THRESHOLD)
+    names = ["transaction_id", scoring.SCORE, scoring.PREDICTION]
+    rows, _ = _run_stream(streamed.select(*names), "stream_batch_parity")
+    features = featurize.add_features(_tx(spark, directory))
+    batch = scoring.apply_threshold(scoring.score_with_model(features, model), FIXED_THRESHOLD).select(*names)
+    sides = rows.withColumn("side", F.lit(1)).unionByName(batch.withColumn("side", F.lit(-1)))
+    matched = sides.groupBy(*names).agg(F.sum("side").alias("surplus"), F.count_if(F.col("side") == 1).alias("streamed"))
+    return matched.agg(F.sum("streamed").alias("streamed"), F.sum(F.abs("surplus")).alias("mismatches"))
+
+
 @query
 def run_log(spark, directory):
     """A logged run: split sizes as parameters, the evaluation of the fixed score as metrics."""

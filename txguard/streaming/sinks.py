@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from txguard.operators.decode import decode_json
+from txguard.operators.quality import tag_reasons
+
 PROGRESS = T.StructType(
     [
         T.StructField("batch_id", T.LongType()),
@@ -42,6 +45,12 @@ def observe_decoded(tagged: DataFrame) -> DataFrame:
     return tagged.observe(OBSERVED, F.count("*").alias("messages"), F.count("reason").alias("unusable"))
 
 
+def reject_stream(messages: DataFrame, label_required: bool = False) -> DataFrame:
+    """Unusable messages of a stream; all messages are counted on the way."""
+    tagged = observe_decoded(tag_reasons(decode_json(messages), label_required))
+    return tagged.filter(F.col("reason").isNotNull())
+
+
 def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """One row per recent micro-batch (the session keeps a bounded number of them)."""
     rows = []
