@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from txguard.operators import cap, ranked
+from txguard.operators import ranked
 from txguard.operators.prefix import running_sums
 
 
