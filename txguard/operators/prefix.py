@@ -17,7 +17,7 @@ def running_sums(
 
     ``by`` restarts the sums per value, for a few values such as splits; a value may hold any
     share of the rows because ranges cut through it. ``totals`` adds whole-group sums the same way.
-    Rows must be unique on ``by`` and ``order_by``.
+    Rows must be unique on ``by`` and ``order_by``, and ``by`` must not be NULL.
 
     Rows are placed into sorted ranges, each range is summed on its own, and the small table of
     sums before each range (one row per range and group) is joined back. Range limits come from
