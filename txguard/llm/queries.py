@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import bpe_codec, content_sort, decontaminate
+from txguard.llm import bpe_codec, content_sort, decontaminate, near_dup
 from txguard.llm.documents import table
 from txguard.session import prepare
 
@@ -65,6 +65,11 @@ def op9_wu_manber(spark, directory):
     )
 
 
+@query
+def op10_minhash_postings(spark, directory):
+    return near_dup.near_duplicates(_texts(spark, directory))
+
+
 def oracles() -> dict[str, str]:
     return {"op6_content_sort": CONTENT_SORT}
 
