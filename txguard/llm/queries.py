@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import bpe_codec, content_sort, decontaminate, near_dup
+from txguard.llm import bpe_codec, content_sort, decontaminate, near_dup, toxicity
 from txguard.llm.documents import table
+from txguard.llm.labelled import held_out
 from txguard.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,19 @@ def op2_bpe_codec(spark, directory):
     )
 
 
+@query
+def op3_counterfactual_toxicity(spark, directory):
+    docs = _texts(spark, directory)
+    out = held_out("doc_id", 4, 2)
+    model = toxicity.fit(docs, table(spark, directory, "labels"), ~out)
+    return _decided(toxicity.score(docs, model), out)
+
+
+def _decided(scored: DataFrame, out) -> DataFrame:
+    """Scores with the decision at the threshold of the contract."""
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op6_content_sort(spark, directory):
     return content_sort.mark_duplicates(_texts(spark, directory))
