@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import bpe_codec, content_sort, decontaminate, near_dup, toxicity
+from txguard.llm import bpe_codec, content_sort, decontaminate, near_dup, pairwise_quality, toxicity
 from txguard.llm.documents import table
 from txguard.llm.labelled import held_out
 from txguard.session import prepare
@@ -64,6 +64,14 @@ def op6_content_sort(spark, directory):
     return content_sort.mark_duplicates(_texts(spark, directory))
 
 
+@query
+def op8_pairwise_quality(spark, directory):
+    docs = _texts(spark, directory)
+    out = held_out("doc_id", 5, 0)
+    model = pairwise_quality.fit(docs, table(spark, directory, "labels"), ~out)
+    return _decided(pairwise_quality.score(docs, model), out)
+
+
 @query
 def op9_wu_manber(spark, directory):
     found = decontaminate.find_passages(_texts(spark, directory), table(spark, directory, "benchmark"))
