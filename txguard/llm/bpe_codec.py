@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from txguard.llm.documents import per_value
 
 # Pre-tokens of a worker whose ids are kept. When full, the table is emptied and fills again.
-KEPT_PRE_TOKENS = 800_000
+KEPT_PRE_TOKENS = 300_000
 
 # Letters of texts that need no Unicode tables: Latin with its first supplements, less the two signs among them.
 PLAIN_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -170,7 +170,7 @@ class Codec:
 
         def make():
             token = shared.value[0].__getitem__
-            return lambda value: b"".join(map(token, value or ()))
+            return lambda value: b"".join(map(token, () if value is None else value.tolist()))
 
         return per_value(make, "binary", pa.binary())(ids)
 

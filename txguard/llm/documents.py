@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +30,7 @@ def per_value(make: Callable[[], Callable], kind: str, arrow: pa.DataType) -> Ca
     """A column function that runs Python over single values, in Arrow batches.
 
     ``make`` is called once per task and returns the function for one value. Results may be
-    dictionaries where ``kind`` is a struct. Values are handled one after another, so besides the
+    dictionaries where ``kind`` is a struct; lists of numbers come as numpy arrays. Values are handled one after another, so besides the
     batch only one value's work is in memory.
     """
 
@@ -43,6 +43,10 @@ def per_value(make: Callable[[], Callable], kind: str, arrow: pa.DataType) -> Ca
     return apply
 
 
-def _each(function: Callable, values: Iterable[pa.Scalar]) -> Iterator:
+def _each(function: Callable, values: pa.Array) -> Iterator:
+    if pa.types.is_list(values.type):
+        for value in values:
+            yield function(value.values.to_numpy() if value.is_valid else None)
+        return
     for value in values:
         yield function(value.as_py())
