@@ -9,38 +9,22 @@ ids back to their bytes.
 from __future__ import annotations
 
 import base64
-import re
 import struct
 import sys
 from array import array
 
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txguard.llm.documents import per_value
+from txguard.llm.pre_tokens import byte_characters, splitter
 
 # Pre-tokens of a worker whose ids are kept. When full, the table is emptied and fills again.
 KEPT_PRE_TOKENS = 300_000
 
-# Letters of texts that need no Unicode tables: Latin with its first supplements, less the two signs among them.
-PLAIN_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-_NOT_PLAIN = re.compile(rf"[^\t\n\r -~{PLAIN_LETTERS}]")
-_PLAIN_SPLIT = re.compile(
-    rf" ?[{PLAIN_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^\s{PLAIN_LETTERS}0-9]+|\s+(?!\S)|\s+"
-)
-
-
-def byte_characters() -> list[str]:
-    """A character for each byte: printable ones stand for themselves, the others follow from U+0100."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = (b for b in range(256) if b not in set(own))
-    return [c for _, c in sorted([*((b, chr(b)) for b in own), *((b, chr(0x100 + n)) for n, b in enumerate(rest))])]
-
-
 def read_ranks(content: bytes) -> list[bytes]:
     """Tokens of a ``.tiktoken`` file by rank. Ranks must be gapless from 0."""
     tokens: dict[int, bytes] = {}
@@ -94,16 +78,9 @@ class Encoder:
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.letters = byte_characters()
         self.whole = {token: rank for rank, token in enumerate(tokens)}
-        self.pattern = pattern
-        self.split = regex.compile(pattern).findall
+        self.split = splitter(pattern)
         self.kept: dict[str, bytes] = {}  # ids as 32-bit numbers end to end
 
-    def pre_tokens(self, text: str) -> list[str]:
-        """Matches of the pattern. For plain texts the same by classes written out, which is twice as fast."""
-        if self.pattern == PLAIN_PATTERN and _NOT_PLAIN.search(text) is None:
-            return _PLAIN_SPLIT.findall(text)
-        return self.split(text)
-
     def learn(self, new: list[str]) -> None:
         """Ids of pre-tokens not seen before. One that is a token by itself needs no merging."""
         mapped = []
@@ -120,7 +97,7 @@ class Encoder:
             self.kept[part] = array("i", ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
-        parts = self.pre_tokens(text)
+        parts = self.split(text)
         new = set(parts).difference(self.kept)
         if new:
             if len(self.kept) > KEPT_PRE_TOKENS:
@@ -130,9 +107,6 @@ class Encoder:
         return np.frombuffer(b"".join(map(self.kept.__getitem__, parts)), np.int32)
 
 
-# The one pattern for which the plain form above is the same.
-PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
 _encoders: dict[tuple[int, str], Encoder] = {}
 
 

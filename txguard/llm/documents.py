@@ -30,8 +30,8 @@ def per_value(make: Callable[[], Callable], kind: str, arrow: pa.DataType) -> Ca
     """A column function that runs Python over single values, in Arrow batches.
 
     ``make`` is called once per task and returns the function for one value. Results may be
-    dictionaries where ``kind`` is a struct; lists of numbers come as numpy arrays. Values are handled one after another, so besides the
-    batch only one value's work is in memory.
+    dictionaries where ``kind`` is a struct; lists of numbers come as numpy arrays. Values are
+    handled one after another, so besides the batch only one value's work is in memory.
     """
 
     @F.arrow_udf(kind)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import bpe_codec, content_sort, decontaminate, near_dup, pairwise_quality, toxicity
+from txguard.llm import bpe_codec, content_sort, decontaminate, near_dup, pairwise_quality, token_counts, toxicity
 from txguard.llm.documents import table
 from txguard.llm.labelled import held_out
 from txguard.session import prepare
@@ -64,6 +64,16 @@ def op6_content_sort(spark, directory):
     return content_sort.mark_duplicates(_texts(spark, directory))
 
 
+@query
+def op7_heap_token_counts(spark, directory):
+    count = token_counts.token_counter(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    text = F.coalesce("text", F.lit(""))
+    counted = _texts(spark, directory).select(
+        "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), count(F.col("text")).alias("n_tokens")
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 @query
 def op8_pairwise_quality(spark, directory):
     docs = _texts(spark, directory)
