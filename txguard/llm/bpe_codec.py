@@ -20,10 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txguard.llm.documents import per_value
-from txguard.llm.pre_tokens import byte_characters, splitter
+from txguard.llm.pre_tokens import Kept, byte_characters, splitter
 
-# Pre-tokens of a worker whose ids are kept. When full, the table is emptied and fills again.
-KEPT_PRE_TOKENS = 300_000
+# Pre-tokens of a worker whose ids are kept; twice as many at most.
+KEPT_PRE_TOKENS = 250_000
 
 def read_ranks(content: bytes) -> list[bytes]:
     """Tokens of a ``.tiktoken`` file by rank. Ranks must be gapless from 0."""
@@ -79,7 +79,7 @@ class Encoder:
         self.letters = byte_characters()
         self.whole = {token: rank for rank, token in enumerate(tokens)}
         self.split = splitter(pattern)
-        self.kept: dict[str, bytes] = {}  # ids as 32-bit numbers end to end
+        self.kept = Kept(KEPT_PRE_TOKENS)  # ids as 32-bit numbers end to end
 
     def learn(self, new: list[str]) -> None:
         """Ids of pre-tokens not seen before. One that is a token by itself needs no merging."""
@@ -92,19 +92,15 @@ class Encoder:
                 to_merge.append(part)
                 mapped.append("".join(map(self.letters.__getitem__, raw)))
             else:
-                self.kept[part] = rank.to_bytes(4, sys.byteorder)
+                self.kept.newer[part] = rank.to_bytes(4, sys.byteorder)
         for part, ids in zip(to_merge, self.processor.encode(mapped, num_threads=1), strict=True):
-            self.kept[part] = array("i", ids).tobytes()
+            self.kept.newer[part] = array("i", ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         parts = self.split(text)
-        new = set(parts).difference(self.kept)
-        if new:
-            if len(self.kept) > KEPT_PRE_TOKENS:
-                self.kept.clear()
-                new = set(parts)
-            self.learn(list(new))
-        return np.frombuffer(b"".join(map(self.kept.__getitem__, parts)), np.int32)
+        if new := self.kept.missing(parts):
+            self.learn(new)
+        return np.frombuffer(b"".join(map(self.kept.newer.__getitem__, parts)), np.int32)
 
 
 _encoders: dict[tuple[int, str], Encoder] = {}

@@ -112,14 +112,31 @@ def led(nodes: DataFrame) -> DataFrame:
         .select("node", "weight", F.col("at.key").alias("key"))
     )
     by_node = cut_lineage(by_node)
-    leader = F.max_by("node", F.struct("weight", -F.col("node")))
-    leaders = by_node.groupBy("key").agg(leader.alias("leader"), F.count(F.lit(1)).alias("length"))
-    return (
+    strongest = F.max(F.struct("weight", (-F.col("node")).alias("minus")))
+    leaders = by_node.groupBy("key").agg(strongest.alias("top"), F.count(F.lit(1)).alias("length"))
+    votes = cut_lineage(
         by_node.join(leaders.filter("length > 1"), "key")
-        .filter("node <> leader")
-        .select("node", "leader")
-        .distinct()
+        .filter("node <> -top.minus")
+        .groupBy("node", "weight", (-F.col("top.minus")).alias("leader"), F.col("top.weight").alias("strength"))
+        .agg(F.count(F.lit(1)).alias("lists"))
     )
+    return _gathered(votes)
+
+
+def _gathered(votes: DataFrame) -> DataFrame:
+    """Node and leader, where a leader that has a stronger one itself gives way to it, twice.
+
+    Any text can stand in for the leader of a list, whether it is in the list or not: the comparison
+    of :func:`compare` holds for every set. Few leaders in the middle of their groups make it cheap.
+    """
+    choice = F.max_by("leader", F.struct("lists", "strength", -F.col("leader")))
+    stronger = votes.filter("struct(strength, -leader) > struct(weight, -node)")
+    upward = stronger.groupBy(F.col("node").alias("_from")).agg(choice.alias("_to"))
+    members = votes.select("node", "leader")
+    for _ in range(2):
+        moved = members.join(upward, F.col("leader") == F.col("_from"), "left")
+        members = moved.select("node", F.coalesce("_to", "leader").alias("leader")).distinct()
+    return members.filter("node <> leader")
 
 
 def sets_of(members: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

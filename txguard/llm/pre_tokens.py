@@ -34,3 +34,29 @@ def byte_characters() -> list[str]:
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = (b for b in range(256) if b not in set(own))
     return [c for _, c in sorted([*((b, chr(b)) for b in own), *((b, chr(0x100 + n)) for n, b in enumerate(rest))])]
+
+
+class Kept:
+    """Values of pre-tokens seen lately: at most twice ``limit`` of them, besides those of one text.
+
+    When ``limit`` values are kept they become the older half, and the former older half is
+    forgotten; what is asked for again moves to the newer half. So frequent pre-tokens stay.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.newer: dict = {}
+        self.older: dict = {}
+
+    def missing(self, parts: list[str]) -> list[str]:
+        """Those of ``parts`` that have no value; all others are in the newer half afterwards."""
+        if len(self.newer) > self.limit:
+            self.older, self.newer = self.newer, {}
+        new = []
+        for part in set(parts).difference(self.newer):
+            value = self.older.get(part)
+            if value is None:
+                new.append(part)
+            else:
+                self.newer[part] = value
+        return new

@@ -16,10 +16,10 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from txguard.llm.documents import per_value
-from txguard.llm.pre_tokens import BYTE_LEVEL_PATTERN, byte_characters, splitter
+from txguard.llm.pre_tokens import BYTE_LEVEL_PATTERN, Kept, byte_characters, splitter
 
-# Pre-tokens of a worker whose counts are kept. When full, the table is emptied and fills again.
-KEPT_PRE_TOKENS = 400_000
+# Pre-tokens of a worker whose counts are kept; twice as many at most.
+KEPT_PRE_TOKENS = 250_000
 
 
 @dataclass
@@ -95,7 +95,7 @@ class Counter:
         self.split = splitter(BYTE_LEVEL_PATTERN)
         ordered = sorted(merges.special, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, ordered))) if ordered else None
-        self.kept: dict[str, int] = {}
+        self.kept = Kept(KEPT_PRE_TOKENS)
 
     def count(self, text: str) -> int:
         if self.special is None or self.special.search(text) is None:
@@ -106,14 +106,10 @@ class Counter:
 
     def plain(self, text: str) -> int:
         parts = self.split(text)
-        kept = self.kept
-        new = set(parts).difference(kept)
-        if new:
-            if len(kept) > KEPT_PRE_TOKENS:
-                kept.clear()
-                new = set(parts)
-            for part in new:
-                kept[part] = count_symbols(part.encode(), self.merges)
+        new = self.kept.missing(parts)
+        kept = self.kept.newer
+        for part in new:
+            kept[part] = count_symbols(part.encode(), self.merges)
         return sum(map(kept.__getitem__, parts))
 
 
