@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txguard.llm import bpe_codec, content_sort, decontaminate, near_dup, pairwise_quality, token_counts, toxicity
+from txguard.llm import (
+    bpe_codec,
+    content_sort,
+    decontaminate,
+    license_scan,
+    near_dup,
+    pairwise_quality,
+    ring_sharding,
+    token_counts,
+    toxicity,
+)
 from txguard.llm.documents import table
 from txguard.llm.labelled import held_out
 from txguard.session import prepare
@@ -59,6 +69,29 @@ def _decided(scored: DataFrame, out) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+@query
+def op4_positional_license_scan(spark, directory):
+    docs = _texts(spark, directory)
+    found = license_scan.scan(docs, license_scan.document_frequencies(docs))
+    first = F.transform("licenses.places", lambda place: place["first"])
+    return found.select(
+        "doc_id",
+        F.col("licenses.n_words").alias("n_words"),
+        F.size("licenses.places").cast("long").alias("n_base"),
+        F.array_min(first).cast("long").alias("first_word"),
+        F.array_max(first).cast("long").alias("last_word"),
+        F.concat_ws(",", "licenses.base_labels").alias("base_labels"),
+        F.concat_ws(",", "licenses.labels").alias("labels"),
+        F.col("licenses.score").alias("score"),
+    )
+
+
+@query
+def op5_bounded_ring(spark, directory):
+    sharded = ring_sharding.assign_shards(_texts(spark, directory))
+    return sharded.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
 @query
 def op6_content_sort(spark, directory):
     return content_sort.mark_duplicates(_texts(spark, directory))
