@@ -13,6 +13,7 @@ from txguard.llm import (
     content_sort,
     decontaminate,
     license_scan,
+    main_text,
     near_dup,
     pairwise_quality,
     ring_sharding,
@@ -44,6 +45,12 @@ def _texts(spark: SparkSession, directory: str) -> DataFrame:
     return table(spark, directory, "documents").select("doc_id", "text")
 
 
+@query
+def op1_recurrent_main_text(spark, directory):
+    found = main_text.main_text(table(spark, directory, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op2_bpe_codec(spark, directory):
     codec = bpe_codec.Codec(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
