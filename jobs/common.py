@@ -37,7 +37,10 @@ def settings(args: argparse.Namespace) -> kafka.KafkaSettings:
 def batch_messages(
     spark: SparkSession, args: argparse.Namespace, max_messages: int | None = None, keep: str = "oldest"
 ) -> DataFrame:
+    """Stored messages; a cap is by broker time, which files do not have, so with files it is refused."""
     if args.files:
+        if max_messages is not None:
+            raise ValueError("--max-messages and --keep need the broker's time, files have none")
         return spark.read.text(args.files)
     return kafka.read_bounded(spark, settings(args), max_messages, keep)
 

@@ -18,23 +18,25 @@ from txguard.plans.scoring import alerts, model_scorer, score_messages  # noqa:
 from txguard.session import get_session  # noqa: E402
 from txguard.sources import kafka  # noqa: E402
 from txguard.sources.package import load_package  # noqa: E402
-from txguard.streaming.sinks import file_writer, progress_table, reject_stream  # noqa: E402
+from txguard.streaming.sinks import ProgressLog, file_writer, reject_stream  # noqa: E402
+
+SCORING = "scoring"
 
 
 def main(argv: list[str] | None = None) -> list[StreamingQuery]:
     args = common.parser("Score a stream of messages")
-    args.add_argument("--checkpoint", default=kafka.CHECKPOINT)
+    args.add_argument("--checkpoint", required=True, help="folder that every executor reaches")
     args.add_argument("--alerts", help="output directory; without it alerts go to the output topic")
     args.add_argument("--exclude", nargs="*", default=[], help="columns left out of the alerts, such as is_fraud")
     args.add_argument("--max-offsets-per-trigger", type=int)
-    args.add_argument("--progress", help="directory of the progress table, written when the stream ends")
+    args.add_argument("--progress", help="directory of the progress table, one row for each batch")
     args.add_argument("--available-now", action="store_true", help="process what is there and stop")
     options = args.parse_args(argv)
 
     spark = get_session("txguard-score-stream")
     loaded = load_package(spark, options.package)
     messages = common.stream_messages(spark, options)
-    found = alerts(score_messages(messages, model_scorer(loaded.model), loaded.threshold), options.exclude)
+    found = alerts(score_messages(messages, model_scorer(loaded.model), loaded.threshold, counted=True), options.exclude)
     if options.alerts:
         writers = [file_writer(found, options.alerts, options.checkpoint)]
     else:
@@ -44,12 +46,17 @@ def main(argv: list[str] | None = None) -> list[StreamingQuery]:
 
     if options.available_now:
         writers = [writer.trigger(availableNow=True) for writer in writers]
-    running = [writer.start() for writer in writers]
+    log = ProgressLog(spark, options.progress, SCORING) if options.progress else None
+    running = [writer.start() for writer in [writers[0].queryName(SCORING), *writers[1:]]]
+    # the first stream that ends, well or not, ends the wait; a failed one raises here
+    while any(query.isActive for query in running):
+        spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
     for query in running:
         query.awaitTermination()
-    if options.progress:
-        # the last stream is the one that counts messages, if there is a quarantine
-        progress_table(spark, running[-1]).write.mode("append").parquet(options.progress)
+    if log:
+        log.table(running[0])
+        log.close()
     return running
 
 

@@ -22,7 +22,7 @@ def main(argv: list[str] | None = None) -> training.Trained:
     args = common.parser("Train the fraud model")
     args.add_argument("--runs", required=True, help="run log directory")
     args.add_argument("--model-name", default="fraud_model")
-    args.add_argument("--max-messages", type=int, default=kafka.MAX_MESSAGES, help="row cap of the Kafka read, 0 for none")
+    args.add_argument("--max-messages", type=int, help=f"row cap of the Kafka read, {kafka.MAX_MESSAGES} unless given, 0 for none")
     args.add_argument("--keep", choices=["oldest", "newest"], default="oldest")
     args.add_argument("--seed", type=int, default=training.SEED)
     args.add_argument("--n-iter", type=int, default=training.N_ITER)
@@ -34,7 +34,10 @@ def main(argv: list[str] | None = None) -> training.Trained:
     options = args.parse_args(argv)
 
     spark = get_session("txguard-train")
-    clean, rejects = route(common.batch_messages(spark, options, options.max_messages or None, options.keep))
+    limit = options.max_messages
+    if limit is None:
+        limit = 0 if options.files else kafka.MAX_MESSAGES
+    clean, rejects = route(common.batch_messages(spark, options, limit or None, options.keep))
     if options.rejects:
         rejects.write.mode("append").parquet(options.rejects)
 

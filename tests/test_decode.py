@@ -30,13 +30,19 @@ def coerced(spark, field, *texts):
     return [row[field] for row in coerce_types(raw).orderBy("n").collect()]
 
 
-@pytest.mark.parametrize("value", ["not json", None, "", "[]", "[{}]", '"text"', "12", "null", '{"user_id":1', "{} tail"])
+@pytest.mark.parametrize("value", ["not json", None, "", "[]", "[{}]", '"text"', "12", "null", '{"user_id":1', "{} tail", "{}{}", "{},{}", "{}] {}", "{'user_id':1}"])
 def test_no_object_is_bad_json(spark, value):
     (row,) = decoded(spark, value)
     assert row.bad_json and row.raw_text == value
     assert all(row[name] is None for name in FIELDS)
 
 
+@pytest.mark.parametrize("before, after", [("", "\n"), ("\t", "\r\n"), (" ", " \t")])
+def test_white_space_around_the_object(spark, before, after):
+    (row,) = decoded(spark, before + GOOD + after)
+    assert not row.bad_json and row.merchant == "M" and row.raw_text is None
+
+
 def test_every_message_gives_one_row(spark):
     rows = decoded(spark, GOOD, "not json", None, "{}", GOOD)
     assert [row.n for row in rows] == [0, 1, 2, 3, 4]

@@ -1,8 +1,9 @@
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
-from txguard.operators.exact_split import assign_exact_split, part_sizes
+from txguard.operators.exact_split import assign_exact_folds, assign_exact_split, part_sizes
 
 
 def rows(spark, positive, negative):
@@ -57,3 +58,22 @@ def test_tiny_inputs(spark):
 def test_assignment_is_a_projection(spark):
     plan = assign_exact_split(rows(spark, 10, 90))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_folds_have_equal_class_counts(spark):
+    folded = assign_exact_folds(rows(spark, 20, 100), folds=3)
+    got = {(r.fold, r.is_fraud): r["count"] for r in folded.groupBy("fold", "is_fraud").count().collect()}
+    assert got == {(0, 1): 7, (1, 1): 7, (2, 1): 6, (0, 0): 34, (1, 0): 33, (2, 0): 33}
+    other = assign_exact_folds(rows(spark, 20, 100), folds=3, seed=1)
+    assert folded.exceptAll(other).count() > 0
+
+
+def test_rows_without_id_are_placed(spark):
+    nameless = rows(spark, 40, 160).withColumn("merchant", F.col("transaction_id")).withColumn("transaction_id", F.lit(None).cast("string"))
+    assert counts(assign_exact_split(nameless)) == counts(assign_exact_split(rows(spark, 40, 160)))
+    assert assign_exact_folds(nameless).filter("fold IS NULL").count() == 0
+
+
+def test_other_labels_are_refused(spark):
+    with pytest.raises(ValueError):
+        assign_exact_split(rows(spark, 5, 5).withColumn("is_fraud", F.lit(7)))

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from txguard.operators import patterns
 from txguard.plans import views
 
@@ -89,3 +91,18 @@ def test_first_match_wins(spark):
     assert in_order(named, "pattern") == ["account_takeover", "card_testing", "merchant_collusion", "geo_anomaly", "none"]
     summary = {row.pattern: row for row in patterns.pattern_summary(named).collect()}
     assert len(summary) == 5 and summary["none"].n == 1 and summary["none"].share == 0.2
+
+
+def test_long_list_copies_hot_users_only(spark):
+    # one user with a third of all rows, rows without an id, and a list that is not copied as a whole
+    rows = spark.range(3000).select(
+        F.lit(None).cast("string").alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("user_id"),
+        "id",
+    )
+    listed = spark.range(0, 3000, 7).select(F.col("id").cast("int").alias("user_id"))
+    marked = patterns.mark_watch_list(rows, listed, max_broadcast=0)
+    assert marked.filter("on_watch_list <> (user_id % 7 = 0)").count() == 0 and marked.count() == 3000
+    assert [row.user_id for row in patterns._hot_users(rows).collect()] == [7]
+    spread = marked.collect()
+    assert sum(row.user_id == 7 for row in spread) >= 1000

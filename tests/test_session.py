@@ -50,3 +50,34 @@ def test_spread_leaves_wide_inputs_alone(spark):
     wide = spark.range(0, 1000, 1, 16)
     assert session.spread(wide) is wide
     assert session.spread(spark.range(0, 1000, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_planning_a_spread_reads_no_row(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for row in rows:
+            read.add(1)
+            yield row
+
+    source = spark.range(100).rdd.mapPartitions(seen).toDF("id long")
+    session.spread(source.orderBy("id").limit(50).repartition(3))
+    assert read.value == 0
+
+
+def test_only_one_process_may_do_without_a_named_folder(monkeypatch):
+    class Context:
+        master = "local-cluster[2,1,512]"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError):
+        session.shared_dir(Session())

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from txguard.operators.decode import decode_json
-from txguard.operators.quality import tag_reasons
+from txguard.operators.quality import counting, tag_reasons
 from txguard.plans import views
 from txguard.plans.scoring import alerts, score_messages
 from txguard.streaming import sinks
@@ -50,9 +50,11 @@ def test_progress_counts_every_message(spark, small, tmp_path):
     bad = spark.createDataFrame([("not json",), ("{}",)], "value string")
     views.clean_messages(tx).union(bad).repartition(2).write.text(str(tmp_path / "in"))
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / "in"))
-    tagged = sinks.observe_decoded(tag_reasons(decode_json(stream)))
+    tagged = counting(tag_reasons(decode_json(stream)))
     writer = sinks.file_writer(tagged.select("reason"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
-    table = sinks.progress_table(spark, sinks.run_available(writer)).filter("input_rows > 0")
+    log = sinks.ProgressLog(spark, str(tmp_path / "progress"))
+    table = log.table(sinks.run_available(writer)).filter("input_rows > 0")
+    log.close()
     total = table.agg(F.sum("input_rows"), F.sum("messages"), F.sum("unusable"), F.countDistinct("batch_id")).first()
     assert tuple(total) == (tx.count() + 2, tx.count() + 2, 2, 2)
 

@@ -6,13 +6,32 @@ any number of partitions and after rows are added, and copies of one id never st
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txguard.schema import FIELDS
+
 BUCKETS = 10_000
 SEED = 42
 
 
+def row_key(df: DataFrame, key: str = "transaction_id") -> Column:
+    """The id as text; for a row without one, a digest of its record fields in alphabetical order.
+
+    So no row is left out of a split or fold, and rows equal in all fields stay together. A table
+    with none of the fields is digested by all its columns. Timestamps count as microseconds.
+    """
+    parts = []
+    fields = [name for name in df.columns if name in FIELDS and name != key]
+    for name in sorted(fields or [name for name in df.columns if name != key]):
+        column = F.col(f"`{name}`")
+        if df.schema[name].dataType.typeName().startswith("timestamp"):
+            column = F.unix_micros(column.cast("timestamp"))
+        parts.append(F.coalesce(column.cast("string"), F.lit("")))
+    content = F.md5(F.concat_ws("|", *parts))
+    return F.coalesce(F.col(key).cast("string"), content) if key in df.columns else content
+
+
 def bucket(key: Column, salt: str, buckets: int = BUCKETS) -> Column:
     digest = F.md5(F.concat(F.lit(f"{salt}:"), key))
     return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
@@ -27,6 +46,7 @@ def split_name(position: Column, test_share: float = 0.20, validation_share: flo
     )
 
 
-def fold(key: Column, folds: int) -> Column:
+def fold(key: Column, folds: int, seed: int | None = None) -> Column:
     """Fold number; its own salt keeps it independent of the split."""
-    return F.pmod(bucket(key, "fold"), F.lit(folds)).cast("int")
+    salt = "fold" if seed is None else f"fold:{seed}"
+    return F.pmod(bucket(key, salt), F.lit(folds)).cast("int")

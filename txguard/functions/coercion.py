@@ -32,7 +32,7 @@ def to_utc(text: Column) -> Column:
 
     A bare time such as "12:30" or "T12" would be completed with the current day, so it is not read.
     """
-    trimmed = F.trim(text)
+    trimmed = F.btrim(text, F.lit(" \t\r\n"))
     colon = F.instr(trimmed, ":")
     dated = ~trimmed.startswith("T") & ((colon == 0) | (colon > len("2024-1-1")))
     return F.when(dated, F.coalesce(text.try_cast("timestamp"), F.try_to_timestamp(trimmed, F.lit(BASIC_ISO))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txguard.functions.buckets import SEED, bucket, fold, split_name
+from txguard.functions.buckets import SEED, bucket, fold, row_key, split_name
 from txguard.schema import LABEL
 
 # Fixed value: fewer positives than this cannot be trained on.
@@ -34,15 +34,16 @@ def assign_split(
     df: DataFrame, seed: int = SEED, test_share: float = 0.20, validation_share: float = 0.20, key: str = "transaction_id"
 ) -> DataFrame:
     """Adds ``split``; per-class shares hold in expectation, without any shuffle."""
-    return df.withColumn("split", split_name(bucket(F.col(key), str(seed)), test_share, validation_share))
+    return df.withColumn("split", split_name(bucket(row_key(df, key), str(seed)), test_share, validation_share))
 
 
 def split_counts(with_split: DataFrame, label: str = LABEL) -> DataFrame:
     return with_split.groupBy("split", label).agg(F.count("*").alias("n"))
 
 
-def assign_fold(df: DataFrame, folds: int = 3, key: str = "transaction_id") -> DataFrame:
-    return df.withColumn("fold", fold(F.col(key), folds))
+def assign_fold(df: DataFrame, folds: int = 3, key: str = "transaction_id", seed: int | None = None) -> DataFrame:
+    """Adds ``fold``; equal shares of each class in expectation, without any shuffle (see ``assign_exact_folds``)."""
+    return df.withColumn("fold", fold(row_key(df, key), folds, seed))
 
 
 def class_weight(train: DataFrame, label: str = LABEL) -> DataFrame:

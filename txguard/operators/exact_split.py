@@ -1,4 +1,4 @@
-"""Stratified split with exact class counts, without ranking whole classes.
+"""Stratified split and folds with exact class counts, without ranking whole classes.
 
 Rows are ordered inside their class by the digest of their id, and the first share goes to each
 part. Only the digests at which the parts end have to be known: four constants for two classes and
@@ -13,7 +13,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txguard.functions.buckets import SEED
+from txguard.functions.buckets import SEED, row_key
 from txguard.operators.prefix import running_sums
 from txguard.schema import LABEL
 
@@ -45,14 +45,12 @@ def assign_exact_split(
     key: str = "transaction_id",
     label: str = LABEL,
 ) -> DataFrame:
-    """Adds ``split``. Copies of one id stay together, so counts are exact up to the copies of the last id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key)))
-    prefix = F.substring(digest, 1, PREFIX_DIGITS)
-    counted = df.groupBy(F.col(label).alias("label"), prefix.alias("prefix")).agg(F.count("*").alias("n")).collect()
+    """Adds ``split``. Copies of one id stay together, so counts are exact up to the copies of the last id.
 
-    per_class: dict[int, dict[str, int]] = {}
-    for row in counted:
-        per_class.setdefault(row.label, {})[row.prefix] = row.n
+    Rows without an id are placed by their content. The label is 0 or 1, else the call is refused.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), row_key(df, key)))
+    per_class = _prefix_counts(df, digest, label)
     sizes = {name: sum(prefixes.values()) for name, prefixes in per_class.items()}
     test = part_sizes(sizes, test_share)
     rest = {name: n - test[name] for name, n in sizes.items()}
@@ -61,16 +59,51 @@ def assign_exact_split(
     ends = {name: (test[name], test[name] + validation[name]) for name in sizes}
 
     cuts = _cut_digests(df, digest, label, per_class, ends)
-    split = F.lit("train")
-    for name, (test_end, validation_end) in cuts.items():
-        of_class = F.col(label) == name
-        split = F.when(of_class & (digest <= validation_end) & (digest > test_end), "validation").otherwise(split)
-        split = F.when(of_class & (digest <= test_end), "test").otherwise(split)
-    return df.withColumn("split", split)
+    return df.withColumn("split", _part(digest, label, cuts, [F.lit("test"), F.lit("validation"), F.lit("train")]))
+
+
+def assign_exact_folds(
+    df: DataFrame, folds: int = 3, seed: int = SEED, key: str = "transaction_id", label: str = LABEL
+) -> DataFrame:
+    """Adds ``fold``: equal class counts in every fold, the first ones taking a row more where they do not divide.
+
+    Copies of one id stay together; rows without an id are placed by their content.
+    """
+    digest = F.md5(F.concat(F.lit(f"fold:{seed}:"), row_key(df, key)))
+    per_class = _prefix_counts(df, digest, label)
+    ends = {}
+    for name, prefixes in per_class.items():
+        each, more = divmod(sum(prefixes.values()), folds)
+        ends[name] = tuple(each * k + min(k, more) for k in range(1, folds))
+    cuts = _cut_digests(df, digest, label, per_class, ends)
+    return df.withColumn("fold", _part(digest, label, cuts, [F.lit(k) for k in range(folds)]))
+
+
+def _prefix_counts(df: DataFrame, digest: Column, label: str) -> dict[int, dict[str, int]]:
+    """Rows per class and digest prefix. The label is checked in the same pass, before rows reach the driver."""
+    known = F.col(label).isin(0, 1)
+    name = F.when(known, F.col(label).cast("int"))
+    prefix = F.when(known, F.substring(digest, 1, PREFIX_DIGITS))
+    counted = df.groupBy(name.alias("label"), prefix.alias("prefix")).agg(F.count("*").alias("n")).collect()
+    per_class: dict[int, dict[str, int]] = {}
+    for row in counted:
+        if row.label is None:
+            raise ValueError(f"{row.n} rows have a label other than 0 and 1")
+        per_class.setdefault(row.label, {})[row.prefix] = row.n
+    return per_class
+
+
+def _part(digest: Column, label: str, cuts: dict[int, list[str]], parts: list[Column]) -> Column:
+    """The first part whose last digest is not passed; the last part takes the rest."""
+    found = parts[-1]
+    for name, ends in cuts.items():
+        for part, end in reversed(list(zip(parts, ends, strict=False))):
+            found = F.when((F.col(label) == name) & (digest <= end), part).otherwise(found)
+    return found
 
 
 def _cut_digests(
-    df: DataFrame, digest: Column, label: str, per_class: dict[int, dict[str, int]], ends: dict[int, tuple[int, int]]
+    df: DataFrame, digest: Column, label: str, per_class: dict[int, dict[str, int]], ends: dict[int, tuple[int, ...]]
 ) -> dict[int, list[str]]:
     """Last digest of each part, per class (empty text for an empty part)."""
     wanted = []  # class, which end, prefix it falls in, rows to take inside the prefix
@@ -81,7 +114,7 @@ def _cut_digests(
                 if before < end <= before + prefixes[prefix]:
                     wanted.append((name, which, prefix, end - before))
                 before += prefixes[prefix]
-    cuts = {name: ["", ""] for name in per_class}
+    cuts = {name: [""] * len(ends[name]) for name in per_class}
     if not wanted:
         return cuts
 
@@ -103,6 +136,8 @@ def _cut_digests(
     found = ranked.agg(*[column.alias(f"cut{i}") for i, column in enumerate(ends_at)]).first()
     for i, (name, which, _, _) in enumerate(wanted):
         cuts[name][which] = found[f"cut{i}"]
-    for pair in cuts.values():
-        pair[1] = max(pair)
+    for own in cuts.values():
+        # an empty part ends where the part before it does
+        for which in range(1, len(own)):
+            own[which] = max(own[which - 1 : which + 1])
     return cuts

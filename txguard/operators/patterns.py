@@ -13,6 +13,8 @@ from txguard.session import cut_lineage
 
 # A broadcast id list of this length stays near 10 MB.
 MAX_BROADCAST_IDS = 500_000
+# A user with more than one in so many rows is spread; so there are fewer such users than that.
+HOT_SHARE = 200
 SALTS = 64
 
 
@@ -22,13 +24,13 @@ def mark_watch_list(
     flag: str = "on_watch_list",
     max_broadcast: int = MAX_BROADCAST_IDS,
     salts: int = SALTS,
-    salt_on: str = "transaction_id",
 ) -> DataFrame:
     """Adds a boolean: is the user on the list?
 
     The list is counted first (never further than the limit). A short one is broadcast. A longer
-    one is joined by shuffle with every user spread over ``salts`` partitions, so one user with a
-    large share of all rows does not end up in one task; the list is copied once per salt.
+    one is joined by shuffle; users with a large share of the rows, fewer than ``HOT_SHARE``, are
+    found by a count, and only their rows and their entries of the list are spread over ``salts``
+    parts. Rows are dealt to the parts by a hash of the whole row.
     """
     # read twice, by the count and by the join: whatever made the list should not run twice
     ids = cut_lineage(watch_list.select("user_id").filter(F.col("user_id").isNotNull()).distinct())
@@ -36,12 +38,23 @@ def mark_watch_list(
     if ids.limit(max_broadcast + 1).count() <= max_broadcast:
         joined = df.join(F.broadcast(marked), "user_id", "left")
     else:
-        spread = marked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_on), F.lit(salts)).cast("int"))
+        hot = [row.user_id for row in _hot_users(df).collect()]
+        is_hot = F.col("user_id").isin(hot) if hot else F.lit(False)
+        parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        spread = marked.withColumn("_salt", F.explode(parts))
+        content = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
+        salted = df.withColumn("_salt", F.when(is_hot, F.pmod(content, F.lit(salts)).cast("int")).otherwise(0))
         joined = salted.join(spread, ["user_id", "_salt"], "left").drop("_salt")
     return joined.select(*df.columns, F.coalesce(flag, F.lit(False)).alias(flag))
 
 
+def _hot_users(df: DataFrame) -> DataFrame:
+    """Users with more than ``1 / HOT_SHARE`` of all rows; counted before the shuffle."""
+    limit = df.count() // HOT_SHARE
+    counts = df.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("n") > limit).select("user_id")
+
+
 def account_takeover(df: DataFrame, watch_list: DataFrame, **options) -> DataFrame:
     marked = mark_watch_list(df, watch_list, "_listed", **options)
     return marked.select(*df.columns, rules.account_takeover(F.col("_listed")).alias("rule_account_takeover"))

@@ -58,10 +58,21 @@ def _missing(typed: DataFrame, name: str) -> Column:
     return value.isNull()
 
 
-def clean(typed: DataFrame, label_required: bool = True) -> DataFrame:
+# Name under which messages and unusable ones are counted on their way through a plan.
+OBSERVED = "decoded"
+
+
+def counting(with_reason: DataFrame) -> DataFrame:
+    """Count messages and unusable ones on the way through; needs the ``reason`` column."""
+    return with_reason.observe(OBSERVED, F.count("*").alias("messages"), F.count("reason").alias("unusable"))
+
+
+def clean(typed: DataFrame, label_required: bool = True, counted: bool = False) -> DataFrame:
     """Usable rows only, with the record fields and any carried columns."""
     kept = [name for name in typed.columns if name not in ("bad_json", "raw_text")]
-    return _with_reason(typed, label_required).filter(F.col("reason").isNull()).select(*kept)
+    judged = _with_reason(typed, label_required)
+    judged = counting(judged) if counted else judged
+    return judged.filter(F.col("reason").isNull()).select(*kept)
 
 
 def rejects(raw: DataFrame, label_required: bool = True) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from txguard.schema import NUMERIC_FEATURES
+
 FIELDS = 'transaction_id, user_id, amount, currency, merchant, "timestamp", location, is_fraud'
 
 TX = """
@@ -126,6 +128,32 @@ placed AS (
            ROW_NUMBER() OVER (PARTITION BY is_fraud ORDER BY MD5('42:' || transaction_id)) AS place FROM tx
 )"""
 
+# Rows without an id are placed by a digest of their columns in alphabetical order.
+NAMED = """
+keyed AS (
+    SELECT is_fraud, MD5(CONCAT_WS('|', CAST(is_fraud AS VARCHAR), 'row ' || transaction_id,
+           CAST(EPOCH_US("timestamp") AS VARCHAR), CAST(user_id AS VARCHAR))) AS name FROM tx
+),
+named AS (
+    SELECT is_fraud, CASE WHEN b < 2000 THEN 'test' WHEN b < 4000 THEN 'validation' ELSE 'train' END AS split,
+           CAST((('0x' || SUBSTR(MD5('fold:' || name), 1, 8))::BIGINT % 10000) % 3 AS INTEGER) AS fold
+    FROM (SELECT *, ('0x' || SUBSTR(MD5('42:' || name), 1, 8))::BIGINT % 10000 AS b FROM keyed)
+)"""
+
+# Keys repeat and are missing; only counts per key are told, as equal rows cannot be told apart.
+TIES = """
+WITH keyed AS (
+    SELECT CASE WHEN event_id % 7 <> 0 THEN DATE_TRUNC('day', CAST(ts AS TIMESTAMP)) END AS day, event_type FROM events
+),
+counted AS (
+    SELECT 'oldest' AS keep, * FROM (SELECT * FROM keyed ORDER BY day NULLS LAST, event_type LIMIT 700)
+    UNION ALL
+    SELECT 'newest' AS keep, * FROM (SELECT * FROM keyed ORDER BY day DESC NULLS LAST, event_type DESC LIMIT 700)
+    UNION ALL
+    SELECT 'all' AS keep, * FROM keyed
+)
+SELECT keep, CAST(day AS TIMESTAMP) AS day, event_type, COUNT(*) AS n FROM counted GROUP BY ALL"""
+
 SCORED = """
 scored AS (
     SELECT transaction_id, is_fraud, split,
@@ -211,7 +239,7 @@ predicted AS (
 TRAINING = f"""
 learnable AS (
     SELECT transaction_id, user_id, amount, merchant, "timestamp", location, split,
-           CASE WHEN (merchant IN ('QuickCash', 'GlobalDigital', 'FastMoneyX') AND amount > 300) <> (bucket < 150)
+           CASE WHEN (merchant IN ('QuickCash', 'GlobalDigital', 'FastMoneyX') AND amount > 300) <> (('0x' || SUBSTR(MD5('noise:' || transaction_id), 1, 8))::BIGINT % 10000 < 150)
                 THEN 1 ELSE 0 END AS is_fraud
     FROM parted
 ),
@@ -225,10 +253,6 @@ weighing AS (
     FROM inputs WHERE split = 'train'
 )"""
 
-NUMERIC = (
-    "amount amount_log amount_over_500 amount_over_1000 transaction_hour is_night is_weekend transaction_day "
-    "user_id_mod_500 user_id_mod_1000 user_id_divisible_500 user_id_divisible_1000 merchant_risk"
-).split()
 
 ALERTS = """
 SELECT transaction_id AS "key", transaction_id, user_id, amount, merchant, location, is_fraud,
@@ -261,6 +285,8 @@ def oracles() -> dict[str, str]:
     return {
         "bounded_read_cap": f"{BOUNDED} ORDER BY ts, event_id LIMIT 1000",
         "bounded_read_newest": f"{BOUNDED} ORDER BY ts DESC, event_id DESC LIMIT 1000",
+        "bounded_read_ties": TIES,
+        "decode_whitespace": _with(f"SELECT {FIELDS}, bad_json FROM raw", RAW),
         "decode_json": _with(f"SELECT {FIELDS}, bad_json FROM raw", RAW),
         "coerce_types": _with(f"{TYPED_FIELDS} typed", RAW),
         "clean_rows": _with(f"{TYPED_FIELDS} clean", RAW),
@@ -322,6 +348,20 @@ def oracles() -> dict[str, str]:
             "FROM placed p JOIN validated v ON p.is_fraud = v.is_fraud",
             EXACT_SPLIT,
         ),
+        "split_without_id": _with(
+            "SELECT 'hashed' AS kind, split, fold, is_fraud, COUNT(*) AS n FROM named GROUP BY ALL UNION ALL "
+            "SELECT 'exact' AS kind, CASE WHEN place <= test_n THEN 'test' WHEN place <= test_n + validation_n "
+            "THEN 'validation' ELSE 'train' END AS split, -1 AS fold, p.is_fraud, COUNT(*) AS n "
+            "FROM placed p JOIN validated v ON p.is_fraud = v.is_fraud GROUP BY ALL",
+            EXACT_SPLIT,
+            NAMED,
+        ),
+        "stratified_folds": _with(
+            "SELECT transaction_id, is_fraud, CAST(CASE WHEN place <= more * (each + 1) THEN (place - 1) // (each + 1) "
+            "ELSE more + (place - 1 - more * (each + 1)) // each END AS INTEGER) AS fold FROM ("
+            "SELECT transaction_id, is_fraud, ROW_NUMBER() OVER (PARTITION BY is_fraud ORDER BY MD5('fold:42:' || transaction_id)) AS place, "
+            "COUNT(*) OVER (PARTITION BY is_fraud) // 3 AS each, COUNT(*) OVER (PARTITION BY is_fraud) % 3 AS more FROM tx)"
+        ),
         "split_counts": _with("SELECT split, is_fraud, COUNT(*) AS n FROM parted GROUP BY split, is_fraud", BUCKETED),
         "fold_assignment": _with(
             "SELECT transaction_id, CAST((('0x' || SUBSTR(MD5('fold:' || transaction_id), 1, 8))::BIGINT % 10000) % 3 "
@@ -410,7 +450,7 @@ def oracles() -> dict[str, str]:
             "SELECT split, COUNT(*) AS n, CAST(SUM(is_fraud) AS BIGINT) AS positives, "
             "ROUND(SUM(CASE WHEN is_fraud = 1 THEN w ELSE 1.0 END), 3) AS weight, "
             "ROUND(CAST(COUNT(known.location) AS DOUBLE), 3) AS located, "
-            + ", ".join(f"ROUND(SUM(CAST({name} AS DOUBLE)), 3) AS {name}" for name in NUMERIC)
+            + ", ".join(f"ROUND(SUM(CAST({name} AS DOUBLE)), 3) AS {name}" for name in NUMERIC_FEATURES)
             + " FROM weighing, inputs LEFT JOIN known ON inputs.location = known.location GROUP BY split",
             BUCKETED,
             TRAINING,

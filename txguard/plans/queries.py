@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from txguard.functions import features
 from txguard.operators import balance, cap, decode, featurize, metrics, patterns, quality, ranked, scoring
-from txguard.operators.exact_split import assign_exact_split
+from txguard.operators.exact_split import assign_exact_folds, assign_exact_split
 from txguard.plans import scoring as scoring_plan
 from txguard.plans import training, views
 from txguard.schema import FIELDS, LABEL, NUMERIC_FEATURES
@@ -96,7 +96,29 @@ def bounded_read_cap(spark, directory):
 @query
 def bounded_read_newest(spark, directory):
     events = read_table(spark, directory, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    return rounded(cap.cap_rows(events, 1000, ["ts", "event_id"], keep="newest", top_k_rows=0))
+    return rounded(cap.cap_rows(events, 1000, ["ts", "event_id"], keep="newest"))
+
+
+@query
+def bounded_read_ties(spark, directory):
+    """A cap over keys that repeat and are missing; what a row adds to the keys tells equal ones apart."""
+    events = read_table(spark, directory, "events").select(
+        F.when(F.col("event_id") % 7 != 0, F.date_trunc("day", F.col("ts").cast("timestamp"))).alias("day"), "event_type"
+    )
+    capped = [cap.cap_rows(events, 700, ["day", "event_type"], keep).withColumn("keep", F.lit(keep)) for keep in ("oldest", "newest")]
+    everything = cap.cap_rows(events, 900_000_000, ["day"]).withColumn("keep", F.lit("all"))
+    rows = capped[0].union(capped[1]).union(everything)
+    return rounded(rows.groupBy("keep", "day", "event_type").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query
+def decode_whitespace(spark, directory):
+    """Messages as text files and consoles hand them on: with line ends and tabs around the object."""
+    k = F.pmod(F.xxhash64("value"), F.lit(4))
+    padded = F.when(k == 0, F.concat("value", F.lit("\n"))).when(k == 1, F.concat("value", F.lit("\r\n")))
+    padded = padded.when(k == 2, F.concat(F.lit("\t "), F.col("value"))).otherwise(F.col("value"))
+    messages = _messages(spark, directory).select(padded.alias("value"))
+    return decode.decode_json(messages).select(*FIELDS, "bad_json")
 
 
 @query
@@ -258,6 +280,24 @@ def exact_split(spark, directory):
     return assign_exact_split(_tx(spark, directory)).select("transaction_id", LABEL, "split")
 
 
+@query
+def split_without_id(spark, directory):
+    """Rows that have no id take part in every split and fold."""
+    rows = views.nameless(_tx(spark, directory))
+    hashed = balance.assign_fold(balance.assign_split(rows))
+    exact = assign_exact_split(rows).withColumn("fold", F.lit(-1))
+
+    def counted(kind: str, assigned: DataFrame) -> DataFrame:
+        return assigned.groupBy(F.lit(kind).alias("kind"), "split", "fold", LABEL).agg(F.count(F.lit(1)).alias("n"))
+
+    return counted("hashed", hashed).union(counted("exact", exact))
+
+
+@query
+def stratified_folds(spark, directory):
+    return assign_exact_folds(_tx(spark, directory)).select("transaction_id", LABEL, "fold")
+
+
 @query
 def split_counts(spark, directory):
     return balance.split_counts(balance.assign_split(_tx(spark, directory)))
@@ -440,10 +480,21 @@ def stream_rejects(spark, directory):
 
 @query
 def stream_progress(spark, directory):
-    messages = views.messages(views.raw_fields(_stream_tx(spark, directory)))
-    tagged = sinks.observe_decoded(quality.tag_reasons(decode.decode_json(messages)))
-    _, running = _run_stream(tagged.select("transaction_id", "reason"), "stream_progress")
-    table = sinks.progress_table(spark, running).filter(F.col("input_rows") > 0)
+    """Counts over a dozen batches, where the session itself keeps the last two only."""
+    folder = work_path(spark, "stream_progress_messages")
+    views.messages(views.raw_fields(_tx(spark, directory))).repartition(12).write.text(folder)
+    messages = spark.readStream.option("maxFilesPerTrigger", 1).text(folder)
+    tagged = quality.counting(quality.tag_reasons(decode.decode_json(messages)))
+    log = sinks.ProgressLog(spark)
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "2")
+    try:
+        _, running = _run_stream(tagged.select("transaction_id", "reason"), "stream_progress")
+        table = log.table(running)
+    finally:
+        spark.conf.set(kept, before)
+        log.close()
     return table.agg(
         F.sum("input_rows").alias("input_rows"), F.sum("messages").alias("messages"), F.sum("unusable").alias("unusable")
     )

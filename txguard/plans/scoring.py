@@ -21,18 +21,29 @@ def model_scorer(model: Model) -> Scorer:
 
 
 def messages_to_features(
-    messages: DataFrame, label_required: bool = False, high_risk: Sequence[str] = HIGH_RISK_MERCHANTS
+    messages: DataFrame,
+    label_required: bool = False,
+    high_risk: Sequence[str] = HIGH_RISK_MERCHANTS,
+    counted: bool = False,
 ) -> DataFrame:
-    """Decode, coerce, keep usable rows, add features. Scoring does not ask for a label."""
+    """Decode, coerce, keep usable rows, add features. Scoring does not ask for a label.
+
+    ``counted`` counts all and the unusable messages on the way (see ``streaming.sinks.ProgressLog``).
+    """
     typed = coerce_types(decode_json(messages))
-    return add_features(clean(typed, label_required), high_risk)
+    return add_features(clean(typed, label_required, counted), high_risk)
 
 
 def score_messages(
-    messages: DataFrame, scorer: Scorer, threshold: float, high_risk: Sequence[str] = HIGH_RISK_MERCHANTS
+    messages: DataFrame,
+    scorer: Scorer,
+    threshold: float,
+    high_risk: Sequence[str] = HIGH_RISK_MERCHANTS,
+    counted: bool = False,
 ) -> DataFrame:
     """Every usable transaction with features, score and decision."""
-    return apply_threshold(scorer(messages_to_features(messages, high_risk=high_risk)), threshold)
+    features = messages_to_features(messages, high_risk=high_risk, counted=counted)
+    return apply_threshold(scorer(features), threshold)
 
 
 def alerts(scored: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
     On a cluster it has to be named in ``spark.checkpoint.dir`` (or set on the context), because
-    every executor must reach it. Only a local master falls back to a temporary folder.
+    every executor must reach it. Only where all executors share this process (``local[...]``) a
+    folder beside the warehouse is taken instead.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -48,9 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not named:
-        if not context.master.startswith("local"):
+        if context.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        named = tempfile.mkdtemp(prefix="txguard-")
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-work"
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
@@ -65,11 +65,19 @@ def spread(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
 
     A file with one row group, or a capped read, would otherwise keep one core busy with all the
     parsing or fitting. Inputs with enough splits pass through without a shuffle. ``scan`` is the
-    plain table scan to look at when ``df`` already has joins (default ``df`` itself).
+    plain table scan to look at when ``df`` has more than that in it. Counting the splits of a plan
+    with shuffles would run them, so such a plan is taken as spread already: they deal rows out.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = (df if scan is None else scan).rdd.getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+    looked_at = df if scan is None else scan
+    if _has_shuffle(looked_at):
+        return df
+    return df.repartition(cores) if looked_at.rdd.getNumPartitions() < cores else df
+
+
+def _has_shuffle(df: DataFrame) -> bool:
+    """Whether the plan, before it runs, has a step that moves rows."""
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from txguard.operators.cap import cap_rows
@@ -90,15 +92,33 @@ def read_stream(spark: SparkSession, settings: KafkaSettings, **limits) -> DataF
 
 
 def read_bounded(
-    spark: SparkSession, settings: KafkaSettings, max_messages: int | None = MAX_MESSAGES, keep: str = "oldest", **limits
+    spark: SparkSession, settings: KafkaSettings, max_messages: int | None = None, keep: str = "oldest", **limits
 ) -> DataFrame:
-    """Stored messages, capped by broker time; ``max_messages=None`` takes all of them."""
-    messages = spark.read.format("kafka").options(**batch_options(settings, **limits)).load()
+    """All stored messages, or the ``max_messages`` oldest or newest by broker time.
+
+    A cap reads the topic several times, so its end is fixed first: messages that arrive meanwhile
+    are in none of the passes.
+    """
+
+    def read(options: dict[str, str]) -> DataFrame:
+        return spark.read.format("kafka").options(**options).load()
+
+    options = batch_options(settings, **limits)
     if max_messages is None:
-        return messages
-    capped = cap_rows(messages, max_messages, ["timestamp", "partition", "offset"], keep)
-    # a top-k ends in one partition; decoding should not
-    return capped.repartition(spark.sparkContext.defaultParallelism)
+        return read(options)
+    messages = read(options)
+    ends = {row.partition: row.end for row in _reached(messages).collect()}
+    if not ends:
+        return messages.limit(0)
+    pinned = {name: value for name, value in options.items() if name != "subscribe"}
+    pinned["assign"] = json.dumps({settings.topic: sorted(ends)})
+    pinned["endingOffsets"] = json.dumps({settings.topic: {str(partition): end for partition, end in ends.items()}})
+    return cap_rows(read(pinned), max_messages, ["timestamp", "partition", "offset"], keep)
+
+
+def _reached(messages: DataFrame) -> DataFrame:
+    """The offset behind the last message of every partition that has any, one row for each."""
+    return messages.groupBy("partition").agg((F.max("offset") + 1).alias("end"))
 
 
 def publish(messages: DataFrame, settings: KafkaSettings, topic: str | None = None) -> None:
