@@ -19,6 +19,7 @@ def parser(description: str) -> argparse.ArgumentParser:
     args.add_argument("--security-protocol", default="PLAINTEXT")
     args.add_argument("--package", required=True, help="model package directory")
     args.add_argument("--rejects", help="quarantine directory")
+    args.add_argument("--high-risk-merchants", nargs="*", help="merchants of the risk feature, the known ones unless given")
     return args
 
 

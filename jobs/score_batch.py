@@ -27,10 +27,11 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session("txguard-score-batch")
     loaded = load_package(spark, options.package)
+    loaded.require_same_list(options.high_risk_merchants)
     clean, rejects = route(common.batch_messages(spark, options), for_training=False)
     if options.rejects:
         rejects.write.mode("append").parquet(options.rejects)
-    scored = apply_threshold(score_with_model(add_features(clean), loaded.model), loaded.threshold)
+    scored = apply_threshold(score_with_model(add_features(clean, loaded.high_risk), loaded.model), loaded.threshold)
     if options.alerts:
         alerts(scored).write.mode("append").parquet(options.alerts)
     else:

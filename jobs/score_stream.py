@@ -35,8 +35,10 @@ def main(argv: list[str] | None = None) -> list[StreamingQuery]:
 
     spark = get_session("txguard-score-stream")
     loaded = load_package(spark, options.package)
+    loaded.require_same_list(options.high_risk_merchants)
     messages = common.stream_messages(spark, options)
-    found = alerts(score_messages(messages, model_scorer(loaded.model), loaded.threshold, counted=True), options.exclude)
+    scored = score_messages(messages, model_scorer(loaded.model), loaded.threshold, loaded.high_risk, counted=True)
+    found = alerts(scored, options.exclude)
     if options.alerts:
         writers = [file_writer(found, options.alerts, options.checkpoint)]
     else:

@@ -72,3 +72,16 @@ def test_version_defaults_to_unknown(spark, fitted, tmp_path):
     path = saved(spark, fitted, tmp_path)
     rewrite(path, feature_version=None)
     assert load_package(spark, str(path)).feature_version == "unknown"
+
+
+def test_merchant_list_travels_with_the_model(spark, fitted, tmp_path):
+    model, rows = fitted
+    save_package(spark, str(tmp_path / "own"), model, 0.25, rows.schema, ["ShopX"])
+    package = load_package(spark, str(tmp_path / "own"))
+    assert package.high_risk == ("ShopX",)
+    package.require_same_list(None)
+    package.require_same_list(["ShopX"])
+    with pytest.raises(ValueError):
+        package.require_same_list(["QuickCash"])
+    outputs = [field["name"] for field in json.loads(package.output_schema)["fields"]]
+    assert outputs == ["fraud_probability", "prediction"]

@@ -124,6 +124,34 @@ def record_rules() -> dict[str, Column]:
     }
 
 
+# JSON kinds of the fields, as far as a record states them. A whole number is a number.
+JSON_KINDS = {
+    "transaction_id": ["STRING"],
+    "user_id": ["BIGINT"],
+    "amount": ["BIGINT", "DECIMAL", "DOUBLE"],
+    "currency": ["STRING"],
+    "merchant": ["STRING"],
+    "timestamp": ["STRING"],
+    "location": ["STRING"],
+    "is_fraud": ["BIGINT"],
+}
+
+
+def validate_types(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Adds ``type_violations``: fields of a JSON message that are there but of another JSON kind.
+
+    The message is parsed once, into a variant, which keeps the kinds that text-typed fields lose.
+    Null and text that is no JSON have none here; they are unusable for other reasons.
+    """
+    parsed = evaluate_once(messages, "_variant", F.try_parse_json(F.col(value).cast("string")))
+    wrong = []
+    for name, kinds in JSON_KINDS.items():
+        kind = F.schema_of_variant(F.try_variant_get("_variant", f"$.{name}", "variant"))
+        plain = F.regexp_replace(kind, r"\(.*", "")
+        wrong.append(F.when(~plain.isin("VOID", *kinds), F.lit(name)))
+    return parsed.withColumn("type_violations", F.array_compact(F.array(*wrong))).drop("_variant")
+
+
 def validate(raw: DataFrame) -> DataFrame:
     """Adds ``violations`` (names of broken rules, in field order) and ``valid``."""
     names = [F.when(broken, F.lit(name)) for name, broken in record_rules().items()]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txguard.operators.decode import coerce_types, decode_json
-from txguard.operators.quality import require_columns, require_rows, tag_reasons
+from txguard.operators.quality import quarantine, require_columns, require_rows, tag_reasons, valid_rows
 from txguard.schema import FIELDS
 from txguard.session import materialise, spread
 
@@ -25,6 +25,13 @@ def route(messages: DataFrame, for_training: bool = True) -> tuple[DataFrame, Da
     return clean, rejects
 
 
+def outgoing(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records to be published: keyed messages of the valid ones, and the others with their violations."""
+    payload = F.to_json(F.struct(*FIELDS))
+    messages = valid_rows(records).select(F.col("user_id").alias("key"), payload.alias("value"))
+    return messages, quarantine(records)
+
+
 def from_table(table: DataFrame) -> DataFrame:
     """Text-typed records from a table that already has columns (a CSV or JSON export)."""
     require_columns(table)

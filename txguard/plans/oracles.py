@@ -298,6 +298,10 @@ def oracles() -> dict[str, str]:
             RAW,
             CHECKED,
         ),
+        "validate_types": _with(
+            "SELECT transaction_id AS id, CASE CAST(transaction_id AS BIGINT) % 5 WHEN 1 THEN 'transaction_id' "
+            "WHEN 2 THEN 'user_id' WHEN 3 THEN 'is_fraud' WHEN 4 THEN 'merchant' ELSE '' END AS type_violations FROM tx"
+        ),
         "violation_counts": _with(counts, RAW, CHECKED),
         "time_features": _with(f"SELECT transaction_id, {TIME_FEATURES} FROM tx"),
         "amount_features": _with(f"SELECT transaction_id, amount, {AMOUNT_FEATURES} FROM tx"),

@@ -152,6 +152,14 @@ def validate_rules(spark, directory):
     return checked.select(*FIELDS, F.concat_ws(",", "violations").alias("violations"), "valid")
 
 
+@query
+def validate_types(spark, directory):
+    """JSON kinds: every fifth class of messages states one field as another kind."""
+    messages = views.typed_messages(_tx(spark, directory))
+    checked = quality.validate_types(messages)
+    return checked.select("id", F.concat_ws(",", "type_violations").alias("type_violations"))
+
+
 @query
 def violation_counts(spark, directory):
     return quality.violation_counts(_decoded(spark, directory))

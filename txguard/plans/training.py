@@ -9,7 +9,7 @@ from math import prod
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,17 +20,16 @@ from txguard.operators.balance import (
     add_weight,
     assign_fold,
     assign_split,
-    class_weight,
     require_positives,
     split_counts,
 )
-from txguard.operators.exact_split import assign_exact_split
+from txguard.operators.exact_split import assign_exact_folds, assign_exact_split
 from txguard.operators.featurize import add_features
 from txguard.operators.metrics import AveragePrecisionEvaluator
-from txguard.operators.ranked import best_threshold, evaluation_summary, ranked_cumulative
+from txguard.operators.ranked import best_threshold, evaluation_summary, pr_curve, ranked_cumulative, roc_curve
 from txguard.operators.scoring import SCORE, score_with_model
 from txguard.schema import FEATURES, LABEL, NUMERIC_FEATURES
-from txguard.session import materialise, shared_dir, spread
+from txguard.session import cut_lineage, materialise, shared_dir, spread
 
 # The searched lists. The learner has no counterpart for L1 and L2 terms.
 SEARCH_SPACE = {
@@ -87,6 +86,7 @@ class Trained:
     params: dict[str, object]
     best_params: dict[str, object]
     search: CrossValidatorModel = field(repr=False)
+    ranked_test: DataFrame = field(repr=False)
 
 
 def labelled_features(
@@ -118,9 +118,14 @@ def preprocessing() -> list:
 
 
 def fit_preprocessing(train: DataFrame, max_locations: int = MAX_LOCATIONS) -> PipelineModel:
-    if train.select("location").distinct().limit(max_locations + 1).count() > max_locations:
+    """One grouping finds the locations; ``max_locations`` bounds what the driver and the model hold of them."""
+    found = train.select("location").filter("location IS NOT NULL").distinct().limit(max_locations + 1)
+    found = [row.location for row in found.collect()]
+    if len(found) > max_locations:
         raise ValueError(f"more than {max_locations} locations: validate the location codes before training")
-    return Pipeline(stages=preprocessing()).fit(train)
+    indexer, *others = preprocessing()
+    known = StringIndexerModel.from_labels(sorted(found), inputCol="location", outputCol="location_index", handleInvalid="keep")
+    return Pipeline(stages=[known, *others]).fit(train.limit(1)) if found else Pipeline(stages=[indexer, *others]).fit(train)
 
 
 def classifier(seed: int = SEED, **params) -> GBTClassifier:
@@ -194,6 +199,7 @@ def prepare_table(
     validation_share: float = VALIDATION_SHARE,
     high_risk: Sequence[str] = HIGH_RISK_MERCHANTS,
     exact: bool = False,
+    max_locations: int = MAX_LOCATIONS,
 ) -> Prepared:
     """Features, split, guard, weight and encoding; nothing is learned outside the training part.
 
@@ -203,16 +209,18 @@ def prepare_table(
     labelled = materialise(
         labelled_features(tx, seed, test_share, validation_share, high_risk, exact), "labelled", ["split"]
     )
-    counts = {(row.split, row[LABEL]): row.n for row in split_counts(labelled).collect()}
+    # other labels are one group, so the driver gets a few counts whatever the label column holds
+    known = labelled.withColumn(LABEL, F.when(F.col(LABEL).isin(0, 1), F.col(LABEL)))
+    counts = {(row.split, row[LABEL]): row.n for row in split_counts(known).collect()}
     if not {label for _, label in counts} <= {0, 1}:
         raise ValueError("the label has values other than 0 and 1")
     require_positives(sum(n for (_, label), n in counts.items() if label == 1))
 
-    train = labelled.filter(F.col("split") == "train")
-    weight = class_weight(train).first().positive_weight
-    encoder = fit_preprocessing(train)
-    encoded = encoder.transform(spread(labelled))
-    assembled = assign_fold(add_weight(encoded, weight), folds)
+    # the weight comes from the counts at hand: negatives for each positive of the training part
+    weight = counts.get(("train", 0), 0) / max(1, counts.get(("train", 1), 0))
+    encoder = fit_preprocessing(labelled.filter(F.col("split") == "train"), max_locations)
+    folded = assign_exact_folds(labelled, folds, seed) if exact else assign_fold(labelled, folds, seed=seed)
+    assembled = encoder.transform(add_weight(spread(folded, scan=labelled), weight))
     table = materialise(assembled.select("features", LABEL, "weight", "fold", "split"), "assembled", ["split"])
     return Prepared(table, encoder, weight, counts)
 
@@ -240,8 +248,10 @@ def train_evaluate(
 
     scores = score_with_model(prepared.held_out, found.bestModel)
     ranked = ranked_cumulative(scores, SCORE, by=["split"])
+    ranked = cut_lineage(ranked)  # the scores of both parts are read several times
     threshold = best_threshold(ranked.filter(F.col("split") == "validation")).first().threshold
-    summary = evaluation_summary(ranked.filter(F.col("split") == "test"), threshold).first()
+    test = ranked.filter(F.col("split") == "test")
+    summary = evaluation_summary(test, threshold).first()
 
     rows = sum(prepared.counts.values())
     return Trained(
@@ -256,9 +266,25 @@ def train_evaluate(
         },
         best_params=points[best],
         search=found,
+        ranked_test=test,
     )
 
 
+def test_tables(trained: Trained) -> dict[str, DataFrame]:
+    """Curves and confusion matrix of the test part, to be kept beside the model."""
+    ranked = trained.ranked_test
+    called = F.col("score") >= trained.threshold
+    hits, calls = F.sum(F.when(called, F.col("pos"))), F.sum(F.when(called, F.col("n")))
+    counts = ranked.agg(
+        F.coalesce(hits, F.lit(0)).alias("tp"),
+        (F.coalesce(calls, F.lit(0)) - F.coalesce(hits, F.lit(0))).alias("fp"),
+        (F.coalesce(F.sum("pos"), F.lit(0)) - F.coalesce(hits, F.lit(0))).alias("fn"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+    )
+    matrix = counts.select("tp", "fp", "fn", (F.col("total") - F.col("tp") - F.col("fp") - F.col("fn")).alias("tn"))
+    return {"pr_curve": pr_curve(ranked), "roc_curve": roc_curve(ranked), "confusion_matrix": matrix}
+
+
 def metrics_row(spark: SparkSession, trained: Trained) -> DataFrame:
     """The run metrics as a one-row table."""
     schema = ", ".join(f"{name} double" for name in trained.metrics)

@@ -108,6 +108,25 @@ def messages(raw: DataFrame) -> DataFrame:
     return raw.select(F.when(nothing, "not json").otherwise(F.to_json(F.struct(*FIELDS))).alias("value"))
 
 
+def typed_messages(tx: DataFrame) -> DataFrame:
+    """Messages with numbers as JSON numbers; in four of five classes of ids one field is of another kind."""
+    k = F.pmod(F.col("transaction_id").cast("bigint"), F.lit(5))
+    fields = F.to_json(F.struct("amount", "currency", "location", F.col("timestamp").cast("string").alias("timestamp")))
+    name, user, label = F.col("transaction_id"), F.col("user_id").cast("string"), F.col("is_fraud").cast("string")
+
+    def quoted(text):
+        return F.concat(F.lit('"'), text, F.lit('"'))
+
+    value = F.concat(
+        F.lit('{"transaction_id":'), F.when(k == 1, name).otherwise(quoted(name)),
+        F.lit(',"user_id":'), F.when(k == 2, quoted(user)).otherwise(user),
+        F.lit(',"is_fraud":'), F.when(k == 3, F.when(F.col("is_fraud") == 1, "true").otherwise("false")).otherwise(label),
+        F.lit(',"merchant":'), F.when(k == 4, user).otherwise(quoted(F.col("merchant"))),
+        F.lit(","), F.substring(fields, 2, 1_000_000),
+    )
+    return tx.select(name.alias("id"), value.alias("value"))
+
+
 def clean_messages(tx: DataFrame) -> DataFrame:
     """Well-formed messages, as a producer would send them."""
     return tx.select(F.to_json(F.struct(*FIELDS)).alias("value"))
