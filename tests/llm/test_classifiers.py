@@ -47,7 +47,7 @@ def test_swaps_keep_group_terms_from_counting(spark):
     labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels, F.lit(True))
     score = model.scorer()
-    assert score("you idiot") >= 0.3 > score("the women walk in the garden")
+    assert score("they are an idiot") >= 0.3 > score("the women walk in the garden")
     texts = [t for _, t, _ in rows]
     features = sorted({f for t in texts for w in toxicity.words_of(t) for f in toxicity.features_of(w)})
     place = {f: k for k, f in enumerate(features)}
