@@ -54,7 +54,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = heads.agg(F.min("_id").alias("node"), F.min_by("_signature", "_id").alias("signature"))
     links = link(nodes.drop("_digest"), docs, id_col, text_col)
     labels = connected(links, "a", "b").withColumnsRenamed({"node": "_node", "component": "_component"})
-    nodes = heads.agg(F.min("_id").alias("_node")).withColumnRenamed("_digest", "_of")
+    # written on its own, so that the join below reads two plain shuffles and can split a frequent set
+    nodes = cut_lineage(heads.agg(F.min("_id").alias("_node")).withColumnRenamed("_digest", "_of"))
     rows = marks.select("_id", "_n", "_digest").join(nodes, F.col("_digest") == F.col("_of"), "left")
     component = F.coalesce("_component", "_node", "_id")
     return rows.join(labels, "_node", "left").select(
