@@ -9,9 +9,10 @@ import __spark_entry__ as contract
 
 QUERIES = contract.queries()
 ORACLES = contract.oracle_sql()
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-).split()
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+]
 
 
 @pytest.fixture(scope="module")
