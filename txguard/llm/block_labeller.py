@@ -20,6 +20,7 @@ PATH_SLOTS, WORD_SLOTS = 2048, 512
 PATH_SIZE, WORD_SIZE, SHAPE_SIZE, HIDDEN_SIZE = 16, 8, 6, 16
 INPUT_SIZE = PATH_SIZE + WORD_SIZE + SHAPE_SIZE
 EPOCHS, BATCH, RATE = 8, 16, 0.01
+PASS_CELLS = 8192
 SEED = 11
 
 
@@ -85,16 +86,27 @@ class Labeller:
         self.w = weights
 
     def label(self, pages: list[list[Leaf]]) -> list[np.ndarray]:
-        """Probability of being main text, for each block of each page. Pages of like length share a pass."""
+        """Probability of being main text, for each block of each page.
+
+        Pages of like length share a pass of at most ``PASS_CELLS`` blocks with padding, so a very
+        long page takes a pass of its own.
+        """
         out: list[np.ndarray] = [np.empty(0)] * len(pages)
-        order = sorted((k for k in range(len(pages)) if pages[k]), key=lambda k: len(pages[k]))
-        for start in range(0, len(order), 64):
-            part = order[start : start + 64]
-            scores, _ = self._run([encode(pages[k]) for k in part])
-            for column, k in enumerate(part):
-                out[k] = _sigmoid(scores[: len(pages[k]), column])
+        part: list[int] = []
+        for k in sorted((k for k in range(len(pages)) if pages[k]), key=lambda k: len(pages[k])):
+            if part and len(pages[k]) * (len(part) + 1) > PASS_CELLS:
+                self._label_into(out, pages, part)
+                part = []
+            part.append(k)
+        if part:
+            self._label_into(out, pages, part)
         return out
 
+    def _label_into(self, out: list[np.ndarray], pages: list[list[Leaf]], part: list[int]) -> None:
+        scores, _ = self._run([encode(pages[k]) for k in part])
+        for column, k in enumerate(part):
+            out[k] = _sigmoid(scores[: len(pages[k]), column])
+
     def _run(self, pages: list[Blocks]) -> tuple[np.ndarray, dict]:
         """Scores by block and page, with what the gradient needs. Short pages are padded at the end."""
         w = self.w
