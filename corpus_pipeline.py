@@ -42,7 +42,7 @@ def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the documents, and whether they decode to the text again."""
     codec = bpe_codec.Codec(prepare(spark), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    coded = bpe_codec.decode(bpe_codec.encode(docs, codec), codec)
+    coded = bpe_codec.encode_and_decode(docs, codec)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return coded.select(
         "doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", same.alias("round_trip")

@@ -23,7 +23,7 @@ from txguard.llm.documents import per_value
 from txguard.llm.pre_tokens import Kept, byte_characters, splitter
 
 # Pre-tokens of a worker whose ids are kept; twice as many at most.
-KEPT_PRE_TOKENS = 250_000
+KEPT_PRE_TOKENS = 100_000
 
 def read_ranks(content: bytes) -> list[bytes]:
     """Tokens of a ``.tiktoken`` file by rank. Ranks must be gapless from 0."""
@@ -144,6 +144,23 @@ class Codec:
 
         return per_value(make, "binary", pa.binary())(ids)
 
+    def round_trip(self, text: Column) -> Column:
+        """Struct of ``token_ids`` and ``decoded``, the bytes that those ids stand for, by one worker for each task."""
+        shared, pattern = self.shared, self.pattern
+
+        def make():
+            encoder = _encoder(*shared.value, pattern)
+            token = shared.value[0].__getitem__
+
+            def code(value: str) -> dict:
+                ids = encoder.encode(value)
+                return {"token_ids": ids, "decoded": b"".join(map(token, ids.tolist()))}
+
+            return code
+
+        kind = pa.struct([("token_ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
+        return per_value(make, "struct<token_ids: array<int>, decoded: binary>", kind)(F.coalesce(text, F.lit("")))
+
 
 def encode(docs: DataFrame, codec: Codec, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """``docs`` with the ids of every whole text. A column of that name is replaced, all others stay.
@@ -156,3 +173,9 @@ def encode(docs: DataFrame, codec: Codec, text_col: str = "text", ids_col: str =
 def decode(docs: DataFrame, codec: Codec, ids_col: str = "token_ids", bytes_col: str = "decoded") -> DataFrame:
     """``docs`` with the bytes that the ids stand for."""
     return docs.withColumn(bytes_col, codec.decode(F.col(ids_col)))
+
+
+def encode_and_decode(docs: DataFrame, codec: Codec, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``token_ids`` and the bytes ``decoded`` from them; columns of these names are replaced."""
+    coded = docs.withColumn("_coded", codec.round_trip(F.col(text_col)))
+    return coded.withColumns({"token_ids": F.col("_coded.token_ids"), "decoded": F.col("_coded.decoded")}).drop("_coded")

@@ -54,7 +54,7 @@ def op1_recurrent_main_text(spark, directory):
 @query
 def op2_bpe_codec(spark, directory):
     codec = bpe_codec.Codec(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    coded = bpe_codec.decode(bpe_codec.encode(_texts(spark, directory), codec), codec)
+    coded = bpe_codec.encode_and_decode(_texts(spark, directory), codec)
     return coded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),

@@ -19,7 +19,7 @@ from txguard.llm.documents import per_value
 from txguard.llm.pre_tokens import BYTE_LEVEL_PATTERN, Kept, byte_characters, splitter
 
 # Pre-tokens of a worker whose counts are kept; twice as many at most.
-KEPT_PRE_TOKENS = 250_000
+KEPT_PRE_TOKENS = 150_000
 
 
 @dataclass

@@ -54,6 +54,7 @@ PENALTY = 1.0  # of the mean squared change of the score under a swap
 DECAY = 1e-4
 STEPS = 400
 THRESHOLD = 0.3
+KEPT_WORDS = 100_000  # words of a worker whose features are kept; when full, the table fills anew
 
 # ASCII characters other than letters part words; bytes from 0x80 belong to letters and signs of other scripts.
 _LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -94,7 +95,7 @@ class Model:
         def hits(word: bytes) -> tuple[bytes, ...]:
             found = known.get(word)
             if found is None:
-                if len(known) > 500_000:
+                if len(known) > KEPT_WORDS:
                     known.clear()
                 found = known[word] = tuple(f for f in features_of(word) if f in weights)
             return found
