@@ -64,6 +64,16 @@ def test_group_around_a_text_that_links_it(spark):
     assert found(near_duplicates(frame)) == brute(rows)
 
 
+def test_chain_of_revisions(spark):
+    # each text near the next, ends unlike: leaders that give way to others stay compared with their lists
+    rows = []
+    for chain in (1, 2):
+        words = [f"s{chain}w{k}" for k in range(16 * 200 + 124)]
+        rows += [(1000 * chain + k, " ".join(words[16 * k : 16 * k + 124])) for k in range(201)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(near_duplicates(frame)) == brute(rows)
+
+
 def test_awkward_rows(awkward):
     rows = [(r.doc_id, r.text) for r in awkward.select("doc_id", "text").collect()]
     assert found(near_duplicates(awkward)) == brute(rows)

@@ -129,11 +129,13 @@ def _gathered(votes: DataFrame) -> DataFrame:
 
     Any text can stand in for the leader of a list, whether it is in the list or not: the comparison
     of :func:`compare` holds for every set. Few leaders in the middle of their groups make it cheap.
+    A leader is moved as a member of its own list too, so that it keeps a stand-in in common with it.
     """
     choice = F.max_by("leader", F.struct("lists", "strength", -F.col("leader")))
     stronger = votes.filter("struct(strength, -leader) > struct(weight, -node)")
     upward = stronger.groupBy(F.col("node").alias("_from")).agg(choice.alias("_to"))
-    members = votes.select("node", "leader")
+    leaders = votes.select("leader").distinct()
+    members = votes.select("node", "leader").union(leaders.select(F.col("leader").alias("node"), "leader"))
     for _ in range(2):
         moved = members.join(upward, F.col("leader") == F.col("_from"), "left")
         members = moved.select("node", F.coalesce("_to", "leader").alias("leader")).distinct()
