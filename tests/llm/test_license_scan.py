@@ -1,6 +1,6 @@
 import re
 
-from txguard.llm.license_scan import PHRASES, document_frequencies, scan
+from txguard.llm.license_scan import PHRASES, TEMPLATES, document_frequencies, index_words, scan
 from txguard.llm.queries import registry
 
 TEXTS = [
@@ -49,6 +49,19 @@ def test_phrases_and_templates(spark):
     assert labels[7] == []  # words enough for a look-up, but the key phrase is cut
 
 
+def test_every_template_of_a_text_with_many_licence_words(spark):
+    # stray words and other licences before it do not keep a template from being looked up
+    stray = "affero noncommercial sharealike unencumbered mozilla dedication universal lesser cc0 "
+    rows = [(k, stray + template + " end") for k, (_, template, _) in enumerate(TEMPLATES)]
+    rows.append((len(rows), " and ".join(template for _, template, _ in TEMPLATES)))
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    frequencies = {word: 1 if word in stray.split() else 100 for word in index_words()}, 1000
+    found = [row.licenses for row in scan(frame, frequencies).orderBy("doc_id").collect()]
+    for (label, _, _), its in zip(TEMPLATES, found, strict=False):
+        assert label in its.labels and its.score > 0.999
+    assert set(found[-1].labels) == {label for label, _, _ in TEMPLATES}
+
+
 def test_query_against_brute_force(spark, medium):
     from txguard.llm.documents import table
 

@@ -1,10 +1,11 @@
 """Licence scans with a positional index of rare words.
 
 Templates are word sequences. Their words other than the commonest are posted with template and
-position. For each file the licence words with the highest inverse document frequency are looked
-up; every posting gives a place where the template may begin. There the templates' other words are
-compared by relative position, and a template counts when enough of its weight is found and its key
-phrases stand where they must.
+position. For each template the word of its key phrases with the highest inverse document frequency
+is looked up; every posting gives a place where the template may begin. There the templates' other
+words are compared by relative position, and a template counts when enough of its weight is found and
+its key phrases stand where they must. As the word looked up is one of a key phrase, every place where
+a template counts is looked at.
 """
 
 from __future__ import annotations
@@ -45,7 +46,6 @@ TEMPLATES = [
 # Template words too common to be looked up.
 COMMON_WORDS = ["0", "1", "2", "3", "4", "a", "and", "any", "are", "by", "copy", "for", "free", "in", "into", "is", "of", "or", "the", "this", "to", "under", "use", "v", "with", "without"]
 
-RARE_WORDS = 6  # licence words of a file that are looked up, rarest first
 LEAST_COVERAGE = 0.7  # share of a template's weight that must stand in place
 
 WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
@@ -134,18 +134,18 @@ def _places(label: str, phrase: str) -> Column:
 def _starts(rare: dict[str, float]) -> Column:
     """Distinct places where a template may begin, as template number times 2**32 plus place plus 2**31.
 
-    The file's rarest words are looked up in the postings; a posting at position q for a word at
-    place i gives the place i - q, which may lie before the text when its beginning is cut off.
+    Each template is posted under the rarest word of its key phrases; a posting at position q for a
+    word at place i gives the place i - q, which may lie before the text when its beginning is cut off.
     """
-    order = F.array(*map(F.lit, sorted(rare, key=lambda w: (-rare[w], w))))
-    rarest = F.slice(F.array_intersect(order, F.col("_present")), 1, RARE_WORDS)
-    postings = {word: [] for word in rare}
-    for number, (_, template, _) in enumerate(TEMPLATES):
-        for position, word in enumerate(template.split()):
-            if word in postings:
-                postings[word].append((number << 32) + (1 << 31) - position)
+    postings: dict[str, list[int]] = {}
+    for number, (_, template, phrases) in enumerate(TEMPLATES):
+        parts = template.split()
+        inside = [_position(parts, p.split()) + k for p in phrases for k in range(len(p.split()))]
+        position = max((k for k in inside if parts[k] in rare), key=lambda k: (rare[parts[k]], -k))
+        postings.setdefault(parts[position], []).append((number << 32) + (1 << 31) - position)
     words_with_place = F.filter(
-        F.transform("_words", lambda w, i: F.struct(w.alias("w"), i.cast("long").alias("i"))), lambda x: F.array_contains(rarest, x["w"])
+        F.transform("_words", lambda w, i: F.struct(w.alias("w"), i.cast("long").alias("i"))),
+        lambda x: F.array_contains(F.array(*map(F.lit, postings)), x["w"]),
     )
     table = F.create_map(*[x for word, codes in postings.items() for x in (F.lit(word), F.array(*[F.lit(c).cast("long") for c in codes]))])
     codes = F.transform(words_with_place, lambda x: F.transform(F.element_at(table, x["w"]), lambda code: code + x["i"]))
