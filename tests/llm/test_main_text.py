@@ -92,3 +92,18 @@ def test_gradient():
             down = loss()
             flat[at] += 1e-5
             assert np.isclose((up - down) / 2e-5, gradient[name].reshape(-1)[at], rtol=1e-3, atol=1e-8), name
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ('<p>a <svg class="i"/> b</p><p>c</p>', ["a b", "c"]),
+        ('<p>a <svg class="i > j"/> b</p><p>c <svg><text>no</text></svg>d</p>', ["a b", "c d"]),
+        ("<p>a</p><video-player></video-player><audio-clip><p>b</p>", ["a", "b"]),
+        ("<p>a <video src=x> b</p><object><p>c</p>", ["a b", "c"]),
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><p>c <math/> d</p>", ["so x=2 holds", "c d"]),
+        ("<p>a</p><video>no</video><script>no</script><p>b</p><style>no", ["a", "b"]),
+    ],
+)
+def test_text_behind_embedded_elements(page, texts):
+    assert [leaf.text for leaf in leaves(page)] == texts

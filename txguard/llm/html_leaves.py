@@ -11,19 +11,25 @@ INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img",
     "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
     "time", "tt", "u", "var", "wbr",
+    "annotation", "annotation-xml", "maction", "math", "menclose", "merror", "mfrac", "mi", "mmultiscripts", "mn", "mo",
+    "mover", "mpadded", "mphantom", "mprescripts", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup",
+    "msup", "mtable", "mtd", "mtext", "mtr", "munder", "munderover", "semantics",
 }
 # Elements without content, and those whose content is no text of the page.
 EMPTY = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-HIDDEN = "script|style|title|template|iframe|noscript|textarea|select|svg|math|object|canvas|audio|video"
+HIDDEN = "script|style|title|template|iframe|noscript|textarea|select"
+# The same, but without an end tag only the start tag is dropped.
+EMBEDDED = "svg|object|canvas|audio|video"
 # Elements that end an open element of the second set when they begin.
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({HIDDEN})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({HIDDEN})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|</?[a-zA-Z]([^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in EMBEDDED.split("|")}
 _NAMES = re.compile(r"(?:\s|^)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 
@@ -39,7 +45,8 @@ def leaves(page: str) -> list[Leaf]:
     """Non-empty blocks in page order. References are decoded and runs of white space are one space.
 
     Missing end tags are inferred as browsers do for paragraphs, list items and table cells; a tag
-    that the page ends in is dropped, and so are comments and what :data:`HIDDEN` elements contain.
+    that the page ends in is dropped, and so are comments and what :data:`HIDDEN` and closed
+    :data:`EMBEDDED` elements contain.
     """
     out: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -48,6 +55,7 @@ def leaves(page: str) -> list[Leaf]:
     linked = 0
     in_link = False
     at = 0
+    unclosed: set[str] = set()  # embedded elements that have no further end tag
 
     def finish() -> None:
         nonlocal linked
@@ -64,16 +72,25 @@ def leaves(page: str) -> list[Leaf]:
             if in_link:
                 linked += len(text)
 
-    for token in _TOKEN.finditer(page):
+    while token := _TOKEN.search(page, at):
         add(page[at : token.start()])
         at = token.end()
         name = token[3]
         if name is None:
             continue
         name = name.lower()
+        if name in _END:
+            if not token[2] and name not in unclosed and not (name == "svg" and token[4].endswith("/")):
+                if end := _END[name].search(page, at):
+                    at = end.end()
+                else:
+                    unclosed.add(name)
+            continue
         if name in INLINE:
             if name == "br":
                 pieces.append("\n")
+            elif name == "mtd":
+                pieces.append(" ")
             elif name == "a":
                 in_link = not token[2]
             continue
