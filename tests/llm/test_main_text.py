@@ -107,3 +107,11 @@ def test_gradient():
 )
 def test_text_behind_embedded_elements(page, texts):
     assert [leaf.text for leaf in leaves(page)] == texts
+
+
+def test_sample_counts_distinct_pages(spark):
+    # more copies of each page than the sample has places
+    rows = [(f"<p>page {k}</p>",) for k in range(300) for _ in range(250 if k < 40 else 1)]
+    frame = spark.createDataFrame(rows, "html string").repartition(5)
+    sample = main_text.sample_pages(frame, "html")
+    assert len(sample) == len(set(sample)) == main_text.SAMPLE_PAGES

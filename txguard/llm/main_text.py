@@ -118,9 +118,14 @@ def train(pages: list[str]) -> Labeller:
 
 
 def sample_pages(pages: DataFrame, html_col: str) -> list[str]:
-    """A bounded number of distinct pages, the same for every layout of the table."""
-    chosen = pages.filter(F.length(html_col) > 0).select(F.col(html_col).alias("html"), F.xxhash64(html_col).alias("order"))
-    return [row.html for row in chosen.orderBy("order", "html").limit(SAMPLE_PAGES).dropDuplicates().collect()]
+    """A bounded number of distinct pages, the same for every layout of the table.
+
+    The hashes are made distinct first, so copies take one place; only the chosen pages are shuffled whole.
+    """
+    found = pages.filter(F.length(html_col) > 0).select(F.col(html_col).alias("html"), F.xxhash64(html_col).alias("order"))
+    chosen = found.select("order").distinct().orderBy("order").limit(SAMPLE_PAGES)
+    distinct = found.join(F.broadcast(chosen), "order", "left_semi").dropDuplicates(["order", "html"])
+    return [row.html for row in distinct.orderBy("order", "html").limit(SAMPLE_PAGES).collect()]
 
 
 def extract(pages: DataFrame, labeller: Labeller, html_col: str = "html", text_col: str = "text") -> DataFrame:
