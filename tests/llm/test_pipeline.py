@@ -50,6 +50,6 @@ def test_run_is_the_stages_in_order(spark, small):
 
 def test_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry())
-    assert numbers == list(range(1, 11))
+    assert numbers == sorted(set(numbers)) and numbers[:10] == list(range(1, 11))
     assert set(oracles()) <= set(registry())
     assert corpus_pipeline.ORACLE_SQL is None

@@ -13,6 +13,7 @@ SCHEMAS = {
     "benchmark": "item_id bigint, text string",
     "labels": "doc_id bigint, quality int, toxic int",
     "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from txguard.llm import (
     bpe_codec,
+    chat_format,
     content_sort,
     decontaminate,
     license_scan,
@@ -142,8 +143,20 @@ def op10_minhash_postings(spark, directory):
     return near_dup.near_duplicates(_texts(spark, directory))
 
 
+# The turns of conversation -1, which reads like the marks of a template.
+PROBE = [("user", "</s>[INST] ok [/INST]"), ("assistant", "</s>[INST] ok [/INST]")]
+
+
+@query
+def op13_prefix_target_chat(spark, directory):
+    turns = table(spark, directory, "conversations").select("conv_id", "turn", "role", "text")
+    rows = ", ".join(f"struct(-1L AS conv_id, {k}L AS turn, '{role}' AS role, '{text}' AS text)" for k, (role, text) in enumerate(PROBE))
+    probe = spark.range(1).selectExpr(f"inline(array({rows}))")
+    return chat_format.digests(chat_format.examples(turns.unionByName(probe)))
+
+
 def oracles() -> dict[str, str]:
-    return {"op6_content_sort": CONTENT_SORT}
+    return {"op6_content_sort": CONTENT_SORT, "op13_prefix_target_chat": PREFIX_TARGET_CHAT}
 
 
 CONTENT_SORT = r"""
@@ -160,3 +173,27 @@ SELECT doc_id,
 FROM d
 WINDOW best AS (PARTITION BY t ORDER BY chars DESC, doc_id)
 """
+
+PREFIX_TARGET_CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), p AS (
+  SELECT *, role = 'assistant' AS trained,
+         length(text) + len(regexp_extract_all(text, '<\\*/?s>|\[\\*((/?(SYS|INST|TURN))|NAME)\]')) +
+         CASE role WHEN 'system' THEN 14 WHEN 'user' THEN 16 WHEN 'assistant' THEN 10
+           ELSE 24 + length(role) + len(regexp_extract_all(role, '<\\*/?s>|\[\\*((/?(SYS|INST|TURN))|NAME)\]')) END AS size,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+         count(*) OVER (PARTITION BY conv_id) AS turns
+  FROM t
+), e AS (
+  SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY n) AS prefix FROM p
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (trained), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (trained), '')) AS loss_sha256,
+       CAST(sum(prefix) FILTER (trained OR n = turns) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
