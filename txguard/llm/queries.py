@@ -15,6 +15,7 @@ from txguard.llm import (
     decontaminate,
     license_scan,
     main_text,
+    merkle,
     near_dup,
     pairwise_quality,
     ring_sharding,
@@ -143,6 +144,18 @@ def op10_minhash_postings(spark, directory):
     return near_dup.near_duplicates(_texts(spark, directory))
 
 
+@query
+def op11_cogrouped_merkle(spark, directory):
+    def leaf(text):
+        return merkle.leaf_hash(*(F.col(name) for name in ("doc_id", "source", "lang", "n_chars")), text)
+
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaves = table(spark, directory, "documents").select(
+        "doc_id", "source", leaf(F.col("text")).alias("leaf"), F.when(tampered, leaf(merkle.lowered(F.col("text")))).alias("check")
+    )
+    return merkle.manifest(leaves, "doc_id", "source", check_col="check").drop("source")
+
+
 # The turns of conversation -1, which reads like the marks of a template.
 PROBE = [("user", "</s>[INST] ok [/INST]"), ("assistant", "</s>[INST] ok [/INST]")]
 
@@ -156,7 +169,7 @@ def op13_prefix_target_chat(spark, directory):
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_content_sort": CONTENT_SORT, "op13_prefix_target_chat": PREFIX_TARGET_CHAT}
+    return {"op6_content_sort": CONTENT_SORT, "op11_cogrouped_merkle": COGROUPED_MERKLE, "op13_prefix_target_chat": PREFIX_TARGET_CHAT}
 
 
 CONTENT_SORT = r"""
@@ -197,3 +210,70 @@ SELECT conv_id,
        CAST(sum(prefix) FILTER (trained OR n = turns) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+COGROUPED_MERKLE = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS key,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') ||
+         coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS lead,
+         text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents
+), leaf AS (
+  SELECT doc_id, key, sha256(lead || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(lead || coalesce(strlen(low) || ':' || low, '-')) AS tampered
+  FROM d
+), bits(n, crc) AS (
+  -- the table of CRC-32 by bytes
+  SELECT i, i FROM range(256) r(i)
+), step(n, crc, k) AS (
+  SELECT n, crc, 0 FROM bits
+  UNION ALL SELECT n, CASE WHEN crc % 2 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END, k + 1 FROM step WHERE k < 8
+), crc_table AS (SELECT n, crc FROM step WHERE k = 8),
+crc(doc_id, digits, pos, c) AS (
+  SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR), 1, 4294967295 FROM d WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT doc_id, digits, pos + 1, xor(crc.c >> 8, t.crc)
+  FROM crc JOIN crc_table t ON t.n = xor(crc.c & 255, ord(substr(digits, pos, 1)))
+  WHERE pos <= length(digits)
+), checked AS (
+  SELECT l.*, CASE WHEN xor(c.c, 4294967295) % 5 = 0 THEN tampered ELSE leaf END AS node,
+         row_number() OVER (PARTITION BY key ORDER BY l.doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM leaf l LEFT JOIN crc c ON c.doc_id = l.doc_id AND c.pos > length(c.digits)
+), nodes(key, lvl, pos, h, n) AS (
+  SELECT key, 0, pos, leaf, count(*) OVER (PARTITION BY key) FROM checked
+  UNION ALL
+  SELECT key, lvl + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 15) // 16
+  FROM nodes WHERE n > 1 GROUP BY key, lvl, pos // 16
+), sub AS (
+  SELECT key, h, row_number() OVER (ORDER BY key) - 1 AS pos FROM nodes WHERE n = 1
+), tops(lvl, pos, h, n) AS (
+  SELECT 0, pos, h, count(*) OVER () FROM sub
+  UNION ALL
+  SELECT lvl + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 15) // 16
+  FROM tops WHERE n > 1 GROUP BY lvl, pos // 16
+), sides AS (
+  SELECT key, lvl, pos, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b
+  FROM nodes WHERE n > 1 WINDOW w AS (PARTITION BY key, lvl, pos // 16 ORDER BY pos)
+), top_sides AS (
+  SELECT lvl, pos, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b
+  FROM tops WHERE n > 1 WINDOW w AS (PARTITION BY lvl, pos // 16 ORDER BY pos)
+), inner_way(key, leaf_pos, lvl, pos, node, proof) AS (
+  SELECT key, pos, 0, pos, node, '' FROM checked
+  UNION ALL
+  SELECT w.key, leaf_pos, w.lvl + 1, w.pos // 16, sha256(a || node || b), proof || a || b
+  FROM inner_way w JOIN sides s ON s.key = w.key AND s.lvl = w.lvl AND s.pos = w.pos
+), arrived AS (
+  SELECT key, leaf_pos, arg_max(node, lvl) AS node, arg_max(proof, lvl) AS proof FROM inner_way GROUP BY key, leaf_pos
+), way(key, leaf_pos, lvl, pos, node, proof) AS (
+  SELECT a.key, leaf_pos, 0, sub.pos, node, proof FROM arrived a JOIN sub ON sub.key = a.key
+  UNION ALL
+  SELECT key, leaf_pos, w.lvl + 1, w.pos // 16, sha256(a || node || b), proof || a || b
+  FROM way w JOIN top_sides s ON s.lvl = w.lvl AND s.pos = w.pos
+), folded AS (
+  SELECT key, leaf_pos, arg_max(node, lvl) AS node, arg_max(proof, lvl) AS proof FROM way GROUP BY key, leaf_pos
+)
+SELECT c.doc_id, c.leaf, sub.h AS subroot, r.h AS root, sha256(f.proof) AS proof_sha256, f.node AS folded_root, f.node = r.h AS verified
+FROM checked c JOIN sub ON sub.key = c.key JOIN folded f ON f.key = c.key AND f.leaf_pos = c.pos, (SELECT h FROM tops WHERE n = 1) r
+"""
