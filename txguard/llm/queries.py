@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from txguard.llm import (
     bpe_codec,
     chat_format,
+    collocations,
     content_sort,
     decontaminate,
     license_scan,
@@ -156,6 +157,11 @@ def op11_cogrouped_merkle(spark, directory):
     return merkle.manifest(leaves, "doc_id", "source", check_col="check").drop("source")
 
 
+@query
+def op12_debruijn_collocations(spark, directory):
+    return collocations.collocations(table(spark, directory, "documents").select("lang", "text"))
+
+
 # The turns of conversation -1, which reads like the marks of a template.
 PROBE = [("user", "</s>[INST] ok [/INST]"), ("assistant", "</s>[INST] ok [/INST]")]
 
@@ -169,7 +175,7 @@ def op13_prefix_target_chat(spark, directory):
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_content_sort": CONTENT_SORT, "op11_cogrouped_merkle": COGROUPED_MERKLE, "op13_prefix_target_chat": PREFIX_TARGET_CHAT}
+    return {"op6_content_sort": CONTENT_SORT, "op11_cogrouped_merkle": COGROUPED_MERKLE, "op12_debruijn_collocations": DEBRUIJN_COLLOCATIONS, "op13_prefix_target_chat": PREFIX_TARGET_CHAT}
 
 
 CONTENT_SORT = r"""
@@ -277,3 +283,40 @@ crc(doc_id, digits, pos, c) AS (
 SELECT c.doc_id, c.leaf, sub.h AS subroot, r.h AS root, sha256(f.proof) AS proof_sha256, f.node AS folded_root, f.node = r.h AS verified
 FROM checked c JOIN sub ON sub.key = c.key JOIN folded f ON f.key = c.key AND f.leaf_pos = c.pos, (SELECT h FROM tops WHERE n = 1) r
 """
+
+DEBRUIJN_COLLOCATIONS = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), p AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws
+  FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t)
+), g AS (
+  SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM p, range(1, 6) r(k))
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL
+), n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 100
+), within AS (
+  SELECT lang, array_to_string(ws[i : i + j - 1], ' ') AS phrase, max(f) AS longest
+  FROM (SELECT *, unnest(range(1, k - j + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS j FROM c))
+  GROUP BY ALL
+), cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, n.n, cut, l.f AS l, r.f AS r,
+         CAST((CAST(1000 AS HUGEINT) * c.f * n.n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+  JOIN n USING (lang)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(ws[1:cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(ws[cut + 1 :], ' ')
+  LEFT JOIN within w ON w.lang = c.lang AND w.phrase = c.phrase
+  WHERE w.longest IS NULL OR 100 * w.longest < 100 * c.f
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
