@@ -12,6 +12,7 @@ from __future__ import annotations
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,11 @@ TOP = 2000
 # Most words, and pairs of words, that a task is told to be frequent; with more, nothing is left out beforehand.
 WORDS_TOLD = 500_000
 PAIRS_TOLD = 4_000_000
+_BITS = 20  # enough for the number of a word told
 # Grams that a task hands on at once.
 HANDED = 200_000
 # Words counted in a task before the counts are handed on.
-COUNTED = 200_000
+COUNTED = 500_000
 
 # Lower-cases A-Z, ends a piece at the bytes of [.,;:!?\x0A-\x0D], and parts words at space and tab.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -91,7 +93,9 @@ class Vocabulary:
         spark = words.sparkSession
         frequent = words.filter(F.col("f") >= least)
         self.numbered = frequent.count() <= WORDS_TOLD
-        rows = sorted((row.lang, row.word) for row in frequent.select("lang", "word").collect()) if self.numbered else []
+        # the most frequent words get the smallest numbers, which take least room in files
+        found = frequent.collect() if self.numbered else []
+        rows = [(lang, word) for _, lang, word in sorted((-row.f, row.lang, row.word) for row in found)]
         self.shared = spark.sparkContext.broadcast(rows)
         self.kind = "int" if self.numbered else "string"
 
@@ -183,14 +187,32 @@ def frequent_pairs(docs: DataFrame, vocabulary: Vocabulary, least: int, text_col
     """The pairs of words that are frequent, as a broadcast sorted array; nothing where they are too many to be told."""
     if not vocabulary.numbered:
         return None
-    counted = grams(docs, vocabulary, None, 2, text_col, lang_col).groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("f"))
-    frequent = cut_lineage(counted.filter(F.col("f") >= least).select((F.shiftleft(F.col("w1").cast("long"), 32) + F.col("w2")).alias("pair")))
+    pair = F.shiftleft(F.col("w1").cast("long"), 32) + F.col("w2")
+    counted = grams(docs, vocabulary, None, 2, text_col, lang_col).groupBy(pair.alias("pair")).agg(F.count(F.lit(1)).alias("f"))
+    frequent = cut_lineage(counted.filter(F.col("f") >= least).select("pair"))
     if frequent.count() > PAIRS_TOLD:
         return None
     table = frequent.toArrow().column("pair").to_numpy()
     return docs.sparkSession.sparkContext.broadcast(np.sort(table))
 
 
+def weighed(found: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Distinct grams and how often they occur, ``f``. Numbers, which fit ``_BITS`` bits, are packed for the way."""
+    if not vocabulary.numbered:
+        return found.groupBy(*GRAM).agg(F.count(F.lit(1)).alias("f"))
+
+    def packed(names: list[str]) -> Column:
+        parts = (F.shiftleft(F.coalesce(F.col(name).cast("long"), F.lit(0)), _BITS * k) for k, name in enumerate(names))
+        return reduce(lambda a, b: a + b, parts)
+
+    def part(column: str, k: int) -> Column:
+        code = F.shiftright(column, _BITS * k).bitwiseAND(2**_BITS - 1)
+        return F.when(code > 0, code.cast("int"))
+
+    counted = found.groupBy(packed(GRAM[:3]).alias("a"), packed(GRAM[3:]).alias("b")).agg(F.count(F.lit(1)).alias("f"))
+    return counted.select(*[part("a" if k < 3 else "b", k % 3).alias(name) for k, name in enumerate(GRAM)], "f")
+
+
 def flows(counted: DataFrame, least: int) -> dict[int, DataFrame]:
     """Frequent grams of 2 to ``LONGEST`` words, from the longest grams and their weights ``f``.
 
@@ -252,7 +274,7 @@ def phrases(
     """
     vocabulary = Vocabulary(words, least)
     pairs = frequent_pairs(docs, vocabulary, least, text_col, lang_col)
-    counted = grams(docs, vocabulary, pairs, LONGEST, text_col, lang_col).groupBy(*GRAM).agg(F.count(F.lit(1)).alias("f"))
+    counted = weighed(grams(docs, vocabulary, pairs, LONGEST, text_col, lang_col), vocabulary)
     found = flows(cut_lineage(counted), least)
     paths = cut_lineage(compacted(found[LONGEST], found[LONGEST - 1]))
 
