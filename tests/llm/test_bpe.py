@@ -81,9 +81,18 @@ def test_other_files_are_refused():
 
 
 def test_frequent_pre_tokens_are_kept():
-    kept = Kept(3)
+    kept = Kept(3 * (Kept.OVERHEAD + 1))  # three letters
     for part in "abcdefgh":
         for new in kept.missing(["often", part]):
             kept.newer[new] = new
         assert kept.missing(["often"]) == []
         assert len(kept.newer) + len(kept.older) <= 2 * 3 + 3
+
+
+def test_long_unbroken_texts_make_room():
+    kept = Kept(10_000)
+    for k in range(500):
+        for part in kept.missing([f"{k}" + "x" * 5000, "often"]):
+            kept.newer[part] = k
+        assert sum(map(len, kept.newer)) + sum(map(len, kept.older)) <= 2 * (10_000 + 5_100)
+    assert kept.newer["often"] == 0

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from txguard.llm.documents import per_value
 from txguard.llm.pre_tokens import Kept, byte_characters, splitter
 
-# Pre-tokens of a worker whose ids are kept; twice as many at most.
-KEPT_PRE_TOKENS = 100_000
+# Characters of pre-tokens of a worker whose ids are kept (see Kept); twice as many at most.
+KEPT_CHARS = 4_000_000
 
 def read_ranks(content: bytes) -> list[bytes]:
     """Tokens of a ``.tiktoken`` file by rank. Ranks must be gapless from 0."""
@@ -79,7 +79,7 @@ class Encoder:
         self.letters = byte_characters()
         self.whole = {token: rank for rank, token in enumerate(tokens)}
         self.split = splitter(pattern)
-        self.kept = Kept(KEPT_PRE_TOKENS)  # ids as 32-bit numbers end to end
+        self.kept = Kept(KEPT_CHARS)  # ids as 32-bit numbers end to end
 
     def learn(self, new: list[str]) -> None:
         """Ids of pre-tokens not seen before. One that is a token by itself needs no merging."""

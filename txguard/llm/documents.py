@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -40,10 +41,21 @@ def per_value(make: Callable[[], Callable], kind: str, arrow: pa.DataType) -> Ca
         function = make()
         for batch in batches:
             yield pa.array(_each(function, batch), type=arrow)
+        del function
+        give_back()
 
     return apply
 
 
+def give_back() -> None:
+    """Hands what a task has freed back to the system: workers outlive their tasks, and several share an executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library than glibc
+        pass
+
+
 def _each(function: Callable, values: pa.Array) -> Iterator:
     if pa.types.is_list(values.type):
         for value in values:

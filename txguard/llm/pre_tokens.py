@@ -37,23 +37,28 @@ def byte_characters() -> list[str]:
 
 
 class Kept:
-    """Values of pre-tokens seen lately: at most twice ``limit`` of them, besides those of one text.
+    """Values of pre-tokens seen lately: at most twice ``limit`` characters of them, besides those of one text.
 
-    When ``limit`` values are kept they become the older half, and the former older half is
-    forgotten; what is asked for again moves to the newer half. So frequent pre-tokens stay.
+    Every pre-token counts ``OVERHEAD`` characters on top of its own. When ``limit`` is reached, what
+    is kept becomes the older half, and the former older half is forgotten; what is asked for again
+    moves to the newer half. So frequent pre-tokens stay, and long ones soon make room.
     """
 
+    OVERHEAD = 32
+
     def __init__(self, limit: int):
         self.limit = limit
+        self.size = 0
         self.newer: dict = {}
         self.older: dict = {}
 
     def missing(self, parts: list[str]) -> list[str]:
         """Those of ``parts`` that have no value; all others are in the newer half afterwards."""
-        if len(self.newer) > self.limit:
-            self.older, self.newer = self.newer, {}
+        if self.size > self.limit:
+            self.older, self.newer, self.size = self.newer, {}, 0
         new = []
         for part in set(parts).difference(self.newer):
+            self.size += self.OVERHEAD + len(part)
             value = self.older.get(part)
             if value is None:
                 new.append(part)

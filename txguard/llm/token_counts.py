@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from txguard.llm.documents import per_value
 from txguard.llm.pre_tokens import BYTE_LEVEL_PATTERN, Kept, byte_characters, splitter
 
-# Pre-tokens of a worker whose counts are kept; twice as many at most.
-KEPT_PRE_TOKENS = 150_000
+# Characters of pre-tokens of a worker whose counts are kept (see Kept); twice as many at most.
+KEPT_CHARS = 6_000_000
 
 
 @dataclass
@@ -95,7 +95,7 @@ class Counter:
         self.split = splitter(BYTE_LEVEL_PATTERN)
         ordered = sorted(merges.special, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, ordered))) if ordered else None
-        self.kept = Kept(KEPT_PRE_TOKENS)
+        self.kept = Kept(KEPT_CHARS)
 
     def count(self, text: str) -> int:
         if self.special is None or self.special.search(text) is None:
