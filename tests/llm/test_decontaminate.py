@@ -78,3 +78,24 @@ def test_query(spark, medium):
         n, hit, found = brute(texts[row.doc_id], items)
         ids = ",".join(sorted(map(str, found)))
         assert (row.n_words, row.n_hit, row.n_items, row.items_sha256) == (n, len(hit), len(found), sha256(ids.encode()).hexdigest())
+
+
+def test_windows_that_share_a_suffix(spark):
+    # very many windows end in the same two words: one look-up decides each, however many there are
+    items = [(k, " ".join(f"u{k}x{j}" for j in range(8)) + " of the") for k in range(20_000)]
+    tables = decontaminate.Tables((k, text.encode()) for k, text in items)
+    (searcher,) = tables.searchers
+    assert len(searcher.windows) == 20_000
+    text = "of the " * 5000 + items[77][1]
+    found = decontaminate.scan(text.encode(), tables)
+    assert found["items"] == [77] and found["spans"] == [{"first": 10_000, "past": 10_010}]
+
+
+def test_passes_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PASS_BYTES", 3000)
+    items = spark.createDataFrame([(k, " ".join(f"w{k}v{j}" for j in range(12))) for k in range(300)], "_item long, _text string")
+    parts = decontaminate._passes(items.selectExpr("_item", "cast(_text as binary) as _text"))
+    sizes = {row["_pass"]: row.n for row in parts.groupBy("_pass").agg({"_text": "count"}).withColumnRenamed("count(_text)", "n").collect()}
+    whole = sum(len(t) for _, t in items.collect())
+    assert sum(sizes.values()) == 300 and len(sizes) >= whole // 3000
+    assert max(sizes.values()) * whole / 300 < 2 * 3000

@@ -1,26 +1,29 @@
 """Benchmark passages in documents, found by Wu-Manber multi-pattern search over words.
 
 All windows of one length are searched together. A shift table tells for a block of two words how
-far the search may jump; a block that ends a window leads to the bucket of windows with that
-suffix, and a direct comparison confirms an occurrence.
+far the search may jump; a block that ends a window leads to the hashed bucket of windows with that
+suffix, and a direct comparison confirms an occurrence. Words are numbered first, so a window is a
+few numbers, compared and hashed as their bytes.
 """
 
 from __future__ import annotations
 
-import math
-from collections import defaultdict
-from collections.abc import Iterable
+from array import array
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txguard.llm.documents import per_value, utf8
+from txguard.session import cut_lineage, materialise
 
 WINDOW_WORDS = 10
 BLOCK = 2
-# Benchmark text that is searched for in one pass; a larger benchmark takes several passes.
-PASS_BYTES = 16_000_000
+# Benchmark text that is searched for in one pass, unless one item has more; a larger benchmark takes several
+# passes, one after the other. A worker holds about 40 bytes for each byte of it.
+PASS_BYTES = 2_000_000
 
 # Lower-cases A-Z and turns every byte that is not of a word into a space. Bytes from 0x80 belong to
 # characters above ASCII, which are all word characters.
@@ -34,65 +37,93 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
 
 
+class _Numbers(dict):
+    """Numbers of words from 1; 0 for words that no window has."""
+
+    def __missing__(self, word: bytes) -> int:
+        return 0
+
+
 class Searcher:
-    """Windows of one length with their shift table and suffix buckets."""
+    """Windows of one length, as bytes of word numbers, with their shift table; a window's value names its items."""
 
-    def __init__(self, length: int, windows: dict[tuple, set[int]]):
+    def __init__(self, length: int):
         self.length = length
         self.block = min(BLOCK, length)
         self.default = length - self.block + 1
-        self.shift: dict[tuple, int] = {}
-        self.buckets: dict[tuple, list[tuple]] = defaultdict(list)
-        self.items = windows
-        for window in windows:
-            for end in range(self.block, length + 1):
-                block = window[end - self.block : end]
-                self.shift[block] = min(self.shift.get(block, self.default), length - end)
-            self.buckets[window[length - self.block :]].append(window)
-
-    def search(self, words: list[bytes]) -> Iterable[tuple[int, tuple]]:
-        """Start and window of every occurrence, by start."""
-        length, block, default, shift = self.length, self.block, self.default, self.shift
-        end, size = length, len(words)
+        self.shift: dict[int, int] = {}
+        # hashed by the whole window, which its suffix is part of: a bucket has one window, however many share a suffix
+        self.windows: dict[bytes, int | tuple[int, ...]] = {}
+
+    def add(self, numbers: array, item: int) -> None:
+        """All windows of an item, which has at least ``length`` words."""
+        raw, size, length, block = numbers.tobytes(), numbers.itemsize, self.length, self.block
+        last = len(numbers) - length
+        for start in range(last + 1):
+            window = raw[size * start : size * (start + length)]
+            known = self.windows.get(window)
+            if known is None:
+                self.windows[window] = item
+            elif isinstance(known, int):
+                if known != item:
+                    self.windows[window] = (known, item)
+            elif item not in known:
+                self.windows[window] = (*known, item)
+        # every block of a window lets the search go on to the window's end; a block that ends a window stops it
+        for end in range(block, len(numbers) + 1):
+            key = self._key(numbers, end)
+            self.shift[key] = min(self.shift.get(key, self.default), max(0, length - end))
+
+    def _key(self, numbers: array, end: int) -> int:
+        return numbers[end - 1] if self.block == 1 else numbers[end - 2] << 32 | numbers[end - 1]
+
+    def search(self, numbers: array) -> Iterator[tuple[int, int | tuple[int, ...]]]:
+        """Start and items of every occurrence, by start."""
+        length, default, shift, windows, single = self.length, self.default, self.shift, self.windows, self.block == 1
+        raw, width = numbers.tobytes(), numbers.itemsize
+        end, size = length, len(numbers)
         while end <= size:
-            suffix = tuple(words[end - block : end])
-            jump = shift.get(suffix, default)
+            jump = shift.get(numbers[end - 1] if single else numbers[end - 2] << 32 | numbers[end - 1], default)
             if jump:
                 end += jump
                 continue
-            start = end - length
-            here = tuple(words[start:end])
-            for window in self.buckets[suffix]:
-                if window == here:
-                    yield start, window
-                    break  # windows are distinct
+            items = windows.get(raw[width * (end - length) : width * end])
+            if items is not None:
+                yield end - length, items
             end += 1
 
 
-def searchers(items: Iterable[tuple[int | None, bytes]]) -> list[Searcher]:
-    """One searcher for each window length among the items: the window length and those of short items."""
-    by_length: dict[int, dict[tuple, set]] = defaultdict(lambda: defaultdict(set))
-    for item, text in items:
-        words = words_of(text)
-        length = min(WINDOW_WORDS, len(words))
-        for start in range(len(words) - length + 1 if words else 0):
-            by_length[length][tuple(words[start : start + length])].add(item)
-    return [Searcher(length, dict(windows)) for length, windows in sorted(by_length.items())]
+class Tables:
+    """What one pass searches for: word numbers, and a searcher for each window length among its items."""
+
+    def __init__(self, items: Iterable[tuple[int | None, bytes]]):
+        self.numbers = _Numbers()
+        self.ids: list[int | None] = []
+        by_length: dict[int, Searcher] = {}
+        for item, text in items:
+            words = words_of(text)
+            if not words:
+                continue
+            length = min(WINDOW_WORDS, len(words))
+            coded = array("I", (self.numbers.setdefault(word, len(self.numbers) + 1) for word in words))
+            by_length.setdefault(length, Searcher(length)).add(coded, len(self.ids))
+            self.ids.append(item)
+        self.searchers = [by_length[length] for length in sorted(by_length)]
 
 
-def scan(text: bytes, tables: list[Searcher]) -> dict:
+def scan(text: bytes, tables: Tables) -> dict:
     """Word count, merged spans of hit words as flat start and end numbers, and items found."""
-    words = words_of(text)
+    numbers = array("I", map(tables.numbers.__getitem__, words_of(text)))
     spans: list[tuple[int, int]] = []
     found: set = set()
-    for table in tables:
-        for start, window in table.search(words):
+    for table in tables.searchers:
+        for start, items in table.search(numbers):
             spans.append((start, start + table.length))
-            found |= table.items[window]
+            found.update((items,) if isinstance(items, int) else items)
     return {
-        "n_words": len(words),
+        "n_words": len(numbers),
         "spans": [{"first": a, "past": b} for a, b in merged(spans)],
-        "items": sorted(x for x in found if x is not None),
+        "items": sorted({tables.ids[k] for k in found} - {None}),
     }
 
 
@@ -132,33 +163,68 @@ def find_passages(
     count once, repeated documents each get their row. An empty benchmark finds nothing. A column
     already called ``found_col`` is replaced; all other columns stay.
 
-    The benchmark is read in passes of a bounded number of bytes, each sent to the executors once.
-    Documents are not shuffled.
+    The benchmark is read in passes of about ``PASS_BYTES``; the driver and every worker hold the
+    tables of one pass at a time. With one pass documents are not shuffled. With more, the rows are
+    numbered and written once, and what a pass finds is written before the next begins; only rows
+    with hits are joined back.
     """
-    context = docs.sparkSession.sparkContext
-    items = benchmark.select(F.col(item_col).alias("_item"), utf8(item_text_col).alias("_text"))
-    total = items.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    passes = max(1, math.ceil(total / PASS_BYTES))
-    parts = []
-    for number in range(passes):
-        chosen = items if passes == 1 else items.filter(F.pmod(F.xxhash64("_item", "_text"), F.lit(passes)) == number)
-        table = context.broadcast(searchers((row[0], bytes(row[1])) for row in chosen.toLocalIterator()))
-
-        def make(table=table):
-            tables = table.value
-            return lambda text: scan(text, tables)
-
-        parts.append(per_value(make, f"struct<{SCAN_TYPE}>", SCAN_ARROW)(utf8(text_col)))
-    if passes == 1:
-        return docs.withColumn(found_col, parts[0])
-    columns = [f"_found_{number}" for number in range(passes)]
-    wide = docs.withColumns(dict(zip(columns, parts, strict=True)))
-    joined = F.struct(
-        F.col(columns[0]).n_words.alias("n_words"),
-        join_spans(F.flatten(F.array(*[F.col(c).spans for c in columns]))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(c).items for c in columns])))).alias("items"),
+    items = _passes(benchmark.select(F.col(item_col).alias("_item"), utf8(item_text_col).alias("_text")))
+    last = items.agg(F.max("_pass")).first()[0] or 0
+    if not last:
+        return docs.withColumn(found_col, _scanned(docs, items)[0](utf8(text_col)))
+    kept = [column for column in docs.columns if column != found_col]
+    own = docs.select(*kept, utf8(text_col).alias("_searched"))
+    rows = materialise(own.withColumn("_row", F.monotonically_increasing_id()), "searched")
+    hits = None
+    for number in range(last + 1):
+        column, tables = _scanned(docs, items.filter(F.col("_pass") == number))
+        found = rows.select("_row", column("_searched").alias("f")).filter("size(f.spans) > 0").select("_row", "f.spans", "f.items")
+        part = materialise(found, "passages")
+        tables.unpersist()
+        hits = part if hits is None else hits.union(part)
+    nothing = Tables([])
+    counted = per_value(lambda: lambda text: scan(text, nothing)["n_words"], "long", pa.int64())
+    span = "array<struct<first: int, past: int>>"
+    together = hits.groupBy("_row").agg(
+        join_spans(F.flatten(F.collect_list("spans"))).alias("_spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("_items"),
     )
-    return wide.withColumn(found_col, joined).drop(*columns)
+    joined = rows.withColumn("_words", counted("_searched")).join(together, "_row", "left")
+    found = F.struct(
+        F.col("_words").alias("n_words"),
+        F.coalesce("_spans", F.array().cast(span)).alias("spans"),
+        F.coalesce("_items", F.array().cast("array<long>")).alias("items"),
+    )
+    return joined.select(*kept, found.alias(found_col))
+
+
+def _passes(items: DataFrame) -> DataFrame:
+    """The items with text, each with the number of its pass: their bytes summed up in order of a hash, in units of a pass.
+
+    The order is that of hash buckets of about a tenth of a pass, so no task sorts the whole benchmark.
+    """
+    sized = items.filter(F.octet_length("_text") > 0).distinct()
+    total = sized.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    buckets = max(1, -(-10 * total // PASS_BYTES))
+    if total <= PASS_BYTES:
+        return sized.withColumn("_pass", F.lit(0))
+    dealt = cut_lineage(sized.withColumn("_bucket", F.pmod(F.xxhash64("_item", "_text"), F.lit(buckets))))
+    sums = dealt.groupBy("_bucket").agg(F.sum(F.octet_length("_text")).alias("_bytes"))
+    # a row for each tenth of a pass
+    through = F.sum("_bytes").over(Window.orderBy("_bucket")) - F.col("_bytes")
+    numbers = sums.select("_bucket", F.floor(through / PASS_BYTES).cast("int").alias("_pass"))
+    return dealt.join(numbers, "_bucket").drop("_bucket")
+
+
+def _scanned(docs: DataFrame, items: DataFrame) -> tuple:
+    """The column function of one pass, and its broadcast tables."""
+    tables = Tables((row[0], bytes(row[1])) for row in items.select("_item", "_text").toLocalIterator())
+    shared: Broadcast = docs.sparkSession.sparkContext.broadcast(tables)
+
+    def make():
+        return lambda text, own=shared.value: scan(text, own)
+
+    return per_value(make, f"struct<{SCAN_TYPE}>", SCAN_ARROW), shared
 
 
 def join_spans(spans):
