@@ -3,6 +3,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from txguard.llm import near_dup
 from txguard.llm.components import connected
 from txguard.llm.near_dup import compare, drop_near_duplicates, near_duplicates
 from txguard.llm.shingles import shingle_set
@@ -74,6 +75,42 @@ def test_chain_of_revisions(spark):
     assert found(near_duplicates(frame)) == brute(rows)
 
 
+def test_groups_that_share_lists_but_no_link(spark, monkeypatch):
+    # near copies of two texts that have much in common, but less than the threshold: no list is turned into its pairs
+    draw = np.random.default_rng(5)
+    common = [f"c{k}" for k in range(320)]
+    rows = []
+    for group in (1, 2):
+        for k in range(2000):
+            words = [f"g{group}w{j}" for j in range(100)]
+            # one group has more texts around it, so the other does not lead the lists they share
+            for place in draw.choice(100, group, replace=False):
+                words[place] = f"x{group}n{k}p{place}"
+            rows.append((10_000 * group + k, " ".join(common + words)))
+    pairs = []
+    plain = near_dup.compared
+
+    def counted(members, sets):
+        pairs.append(members.count())
+        return plain(members, sets)
+
+    monkeypatch.setattr(near_dup, "compared", counted)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(row.doc_id // 10_000, row.component_id) for row in got} == {(1, 10_000), (2, 20_000)}
+    assert sum(pairs) <= 10 * len(rows)
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_repeated_ids(spark, turned):
+    a = " ".join(f"a{k}" for k in range(60))
+    b = " ".join(f"b{k}" for k in range(60))
+    rows = [("1", a), ("1", b), ("2", a + " more"), ("3", b + " other"), ("0", b + " last"), ("1", a)]
+    frame = spark.createDataFrame(rows[::-1] if turned else rows, "doc_id string, text string").coalesce(1)
+    got = sorted((row.doc_id, row.component_id, row.kept) for row in near_duplicates(frame).collect())
+    assert got == [("0", "0", True), ("1", "0", False), ("1", "1", True), ("1", "1", True), ("2", "1", False), ("3", "0", False)]
+    assert sorted(row.doc_id for row in drop_near_duplicates(frame).collect()) == ["0", "1", "1", "1"]
+
+
 def test_awkward_rows(awkward):
     rows = [(r.doc_id, r.text) for r in awkward.select("doc_id", "text").collect()]
     assert found(near_duplicates(awkward)) == brute(rows)

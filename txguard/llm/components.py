@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txguard.session import cut_lineage
+from txguard.session import materialise
 
 
 def connected(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -18,10 +18,10 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     longest path. Links to oneself, repeated links and an empty table are allowed.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    edges = cut_lineage(edges)
+    edges = materialise(edges, "edges")
     before = None
     while True:
-        edges = cut_lineage(_small_star(_large_star(edges)))
+        edges = materialise(_small_star(_large_star(edges)), "edges")
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == before:
             break

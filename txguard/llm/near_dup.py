@@ -7,8 +7,12 @@ rarest ``COORDINATES - MATCHES + 1`` of both: this prefix is merged, the frequen
 A list is not turned into all its pairs. Its most connected text leads it, and every other text is
 compared with the leader on full sets. What two texts of a list have in common beyond the leader
 shows in their differences from it: a pair that is linked although one of the two is not linked to
-the leader must share many differences (the bound is in :func:`compare`), so such pairs are found by
-a prefix join on the differences and then confirmed on full sets.
+the leader must share many differences (the bound is in :func:`compare`). So the texts are posted
+once more, under leader and difference, and each of these lists that holds a text not linked to the
+leader gets a leader of its own, and so on. Leaders of such lists are the strongest of their texts
+in one order of all texts, so they become weaker step by step and every pair ends with a leader that
+both are linked to, or with a comparison of the two. Lists whose texts are connected already are
+done. A step costs rows, not pairs of them.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txguard.llm.components import connected
-from txguard.llm.documents import per_value, utf8
+from txguard.llm.documents import give_back, per_value, utf8
 from txguard.llm.shingles import Signer, digest, shingle_set
 from txguard.session import cut_lineage, materialise
 
@@ -31,13 +35,14 @@ THRESHOLD = (3, 4)  # intersection to union, as whole numbers
 # times in a million, and less often above the threshold.
 COORDINATES = 64
 MATCHES = 32
-# Bits of the filter that keeps most texts without partners from being shingled twice. Of fixed size
-# (2 MB); when it fills up, more texts pass and the join behind it sorts them out.
-FILTER_BITS = 2**24
 
 _MARKS = "n int, digest binary, signature array<long>"
 _MARKS_ARROW = pa.struct([("n", pa.int32()), ("digest", pa.binary()), ("signature", pa.list_(pa.int64()))])
-_FORM = "extra int, size int, weight int, linked boolean, prefix array<long>"
+_SET = pa.struct([("digest", pa.binary()), ("shingles", pa.list_(pa.int64()))])
+_FORM = "linked boolean, extra int, cost int, size int, prefix array<long>"
+_FORM_ARROW = pa.struct(
+    [("linked", pa.bool_()), ("extra", pa.int32()), ("cost", pa.int32()), ("size", pa.int32()), ("prefix", pa.list_(pa.int64()))]
+)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -46,19 +51,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Two texts are linked when their sets of five-word shingles have a similarity of 0.75 or more. A
     text of fewer words is one shingle; null and empty texts and texts of white space have none, are
     linked with nothing and keep their own id. Copies of a set are linked, whatever their number.
-    Repeated rows each get their row. Rows without an id take the component of an equal set with an
-    id, else null; ``kept`` is then true. An empty table gives no rows; other columns are ignored.
+    Repeated rows each get their row, and rows that share an id but not their text each go by their
+    own text. Rows without an id take the component of an equal set with an id, else null; ``kept``
+    is then true. Ids may be of any type that has an order. An empty table gives no rows; other
+    columns are ignored.
     """
     marks = cut_lineage(signed(docs, id_col, text_col))
     heads = marks.filter("_n > 0 AND _id IS NOT NULL").groupBy("_digest")
-    nodes = heads.agg(F.min("_id").alias("node"), F.min_by("_signature", "_id").alias("signature"))
-    links = link(nodes.drop("_digest"), docs, id_col, text_col)
-    labels = connected(links, "a", "b").withColumnsRenamed({"node": "_node", "component": "_component"})
+    nodes = cut_lineage(heads.agg(F.min("_id").alias("_first"), F.first("_signature").alias("signature")))
+    # sets are numbered; the numbers stay, as they go by the place in the written table
+    nodes = nodes.withColumn("node", F.monotonically_increasing_id())
+    labels = linked_nodes(nodes, docs, id_col, text_col)
+    linked = cut_lineage(nodes.select("node", "_first", F.col("_digest").alias("_of")).join(labels, "node", "left"))
+    least = linked.filter("component IS NOT NULL").groupBy("component").agg(F.min("_first").alias("_least"))
     # written on its own, so that the join below reads two plain shuffles and can split a frequent set
-    nodes = cut_lineage(heads.agg(F.min("_id").alias("_node")).withColumnRenamed("_digest", "_of"))
-    rows = marks.select("_id", "_n", "_digest").join(nodes, F.col("_digest") == F.col("_of"), "left")
-    component = F.coalesce("_component", "_node", "_id")
-    return rows.join(labels, "_node", "left").select(
+    found = cut_lineage(linked.join(least, "component", "left").select("_of", F.coalesce("_least", "_first").alias("_component")))
+    rows = marks.select("_id", "_n", "_digest").join(found, F.col("_digest") == F.col("_of"), "left")
+    component = F.coalesce("_component", "_id")
+    return rows.select(
         F.col("_id").alias(id_col),
         F.col("_n").cast("long").alias("n_shingles"),
         component.alias("component_id"),
@@ -87,17 +97,34 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return marked.select("_id", F.col("_m.n").alias("_n"), F.col("_m.digest").alias("_digest"), F.col("_m.signature").alias("_signature"))
 
 
-def link(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Confirmed links ``a``, ``b`` that connect every two nodes connected by links at the threshold."""
-    members = cut_lineage(led(nodes))
-    sets = materialise(sets_of(members, docs, id_col, text_col), "shingle-sets")
-    forms = cut_lineage(compared(members, sets))
-    direct = forms.filter("linked").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    return cut_lineage(direct.union(confirmed(sharing_differences(forms), sets)))
+def linked_nodes(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``node`` and ``component`` of all nodes that have a link at the threshold, confirmed on full sets."""
+    members = cut_lineage(led(nodes.select("node", "signature")))
+    sets = materialise(sets_of(members, nodes, docs, id_col, text_col), "shingle-sets")
+    # lists of signature coordinates first; the lists of differences from their leaders are a round of their own,
+    # because those leaders stand in for others and need not be stronger than their texts
+    forms = materialise(compared(members, sets), "forms")
+    labels = materialise(connected(_links(forms), "a", "b"), "labels")
+    met = None
+    fresh = _meeting(forms, labels, None)
+    while not fresh.isEmpty():
+        # tables, not checkpoints: a plan's size estimate would grow with every round
+        forms = materialise(compared(fresh, sets), "forms")
+        stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = materialise(connected(stars.union(_links(forms)), "a", "b"), "labels")
+        met = forms if met is None else met.unionByName(forms)
+        # a list grows when texts come to its leader later on, so all texts of a leader with new ones are looked at
+        touched = met.join(forms.select("leader").distinct(), "leader", "left_semi")
+        fresh = _meeting(touched, labels, met)
+    return labels
+
+
+def _links(forms: DataFrame) -> DataFrame:
+    return forms.filter("linked").select(F.col("node").alias("a"), F.col("leader").alias("b"))
 
 
 def led(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs of a node and a leader of one of its prefix lists."""
+    """Distinct pairs of a node, with its ``weight``, and a leader of one of its prefix lists."""
     # the key needs no coordinate number: permutations differ, and a chance agreement only adds a pair
     postings = nodes.select("node", F.explode("signature").alias("key"))
     lists = postings.groupBy("key").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
@@ -113,67 +140,98 @@ def led(nodes: DataFrame) -> DataFrame:
         .select("node", "weight", F.col("at.key").alias("key"))
     )
     by_node = cut_lineage(by_node)
-    strongest = F.max(F.struct("weight", (-F.col("node")).alias("minus")))
+    strongest = F.max(F.struct("weight", "node"))
     leaders = by_node.groupBy("key").agg(strongest.alias("top"), F.count(F.lit(1)).alias("length"))
+    leaders = cut_lineage(leaders.filter("length > 1").select("key", "top"))
     votes = cut_lineage(
-        by_node.join(leaders.filter("length > 1"), "key")
-        .filter("node <> -top.minus")
-        .groupBy("node", "weight", (-F.col("top.minus")).alias("leader"), F.col("top.weight").alias("strength"))
+        by_node.join(leaders, "key")
+        .filter("node <> top.node")
+        .groupBy("node", "weight", F.col("top.node").alias("leader"), F.col("top.weight").alias("strength"))
         .agg(F.count(F.lit(1)).alias("lists"))
     )
     return _gathered(votes)
 
 
 def _gathered(votes: DataFrame) -> DataFrame:
-    """Node and leader, where a leader that has a stronger one itself gives way to it, twice.
+    """Node, weight and leader, where a leader that has a stronger one itself gives way to it, twice.
 
     Any text can stand in for the leader of a list, whether it is in the list or not: the comparison
     of :func:`compare` holds for every set. Few leaders in the middle of their groups make it cheap.
     A leader is moved as a member of its own list too, so that it keeps a stand-in in common with it.
     """
-    choice = F.max_by("leader", F.struct("lists", "strength", -F.col("leader")))
-    stronger = votes.filter("struct(strength, -leader) > struct(weight, -node)")
-    upward = stronger.groupBy(F.col("node").alias("_from")).agg(choice.alias("_to"))
-    leaders = votes.select("leader").distinct()
-    members = votes.select("node", "leader").union(leaders.select(F.col("leader").alias("node"), "leader"))
+    choice = F.max_by("leader", F.struct("lists", "strength", "leader"))
+    stronger = votes.filter("struct(strength, leader) > struct(weight, node)")
+    # written on its own, so that the joins read plain shuffles and a leader of many nodes can be split
+    upward = cut_lineage(stronger.groupBy(F.col("node").alias("_from")).agg(choice.alias("_to")))
+    leaders = votes.select(F.col("leader").alias("node"), F.col("strength").alias("weight"), "leader").distinct()
+    members = cut_lineage(votes.select("node", "weight", "leader").union(leaders))
     for _ in range(2):
         moved = members.join(upward, F.col("leader") == F.col("_from"), "left")
-        members = moved.select("node", F.coalesce("_to", "leader").alias("leader")).distinct()
+        members = cut_lineage(moved.select("node", "weight", F.coalesce("_to", "leader").alias("leader")).distinct())
     return members.filter("node <> leader")
 
 
-def sets_of(members: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Shingle sets of the nodes in ``members``, shingled again from the texts."""
-    spark = docs.sparkSession
+def sets_of(members: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Shingle sets of the nodes in ``members``, shingled again from the texts with their ids."""
     wanted = members.select("node").union(members.select("leader")).distinct()
-    place = F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS))
-    bits = wanted.groupBy(F.floor(place / 64).cast("int").alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(node), {FILTER_BITS}) % 64 as int))")).alias("bits")
+    wanted = cut_lineage(nodes.select("node", "_first", "_digest").join(wanted, "node", "left_semi"))
+
+    def make():
+        def read(text: bytes) -> dict:
+            shingles = shingle_set(text, SHINGLE_WORDS)
+            return {"digest": digest(shingles), "shingles": shingles.view(np.int64)}
+
+        return read
+
+    ids = wanted.select(F.col("_first").alias("_id")).distinct()
+    texts = docs.select(F.col(id_col).alias("_id"), utf8(text_col).alias("_text")).join(ids, "_id", "left_semi")
+    read = texts.select(per_value(make, "struct<digest: binary, shingles: array<long>>", _SET)("_text").alias("s"))
+    # an id can have several texts; the digest tells which is meant
+    found = read.select("s.*").join(wanted.select("node", F.col("_digest").alias("digest")), "digest")
+    return found.select("node", "shingles").dropDuplicates(["node"])
+
+
+def _meeting(forms: DataFrame, labels: DataFrame, met: DataFrame | None) -> DataFrame:
+    """Node, weight and leader of the lists of differences that may hold a link between components.
+
+    A link that is looked for has a node that is not linked to the leader the differences are from;
+    the bounds of :func:`compare` rule nodes out that can have none in a list. Pairs in ``met`` have
+    been compared already. The leader of a list is its strongest node.
+    """
+    p, q = THRESHOLD
+    of = labels.select("node", F.col("component").alias("_component"))
+    rows = forms.join(of, "node", "left").withColumn("component", F.coalesce("_component", "node")).drop("_component")
+    least_extra = F.min(F.when(~F.col("linked"), F.col("extra"))).alias("least_extra")
+    apart = F.min("component") < F.max("component")
+    groups = cut_lineage(rows.groupBy("leader").agg(least_extra, apart.alias("apart")).filter("apart AND least_extra IS NOT NULL").drop("apart"))
+    near = rows.join(groups, "leader").filter(~F.col("linked") | (F.col("size") * (p + q) >= F.col("least_extra") + F.col("cost")))
+    spread = near.select(
+        F.col("leader").alias("under"), "node", "weight", "component", "linked", "extra", "cost", "size", F.posexplode("prefix").alias("place", "difference")
+    ).withColumn("left", F.col("size") - F.col("place"))
+    key = ["under", "difference"]
+    facts = spread.groupBy(*key).agg(
+        least_extra,
+        apart.alias("apart"),
+        F.min("cost").alias("least_cost"),
+        F.max("left").alias("most_left"),
+        F.max(F.when(~F.col("linked"), F.col("left"))).alias("most_unlinked"),
     )
-    table = np.zeros(FILTER_BITS // 64, np.uint64)
-    for row in bits.toLocalIterator():
-        table[row.word] = np.uint64(row.bits & 0xFFFFFFFFFFFFFFFF)
-    shared = spark.sparkContext.broadcast(table)
-
-    @F.arrow_udf("array<long>")
-    def shingled(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        words = shared.value
-        for places, texts in batches:
-            at = places.to_numpy(zero_copy_only=False).astype(np.uint64)
-            hit = words[at // np.uint64(64)] >> (at % np.uint64(64)) & np.uint64(1)
-            sets = (
-                shingle_set(text.as_py(), SHINGLE_WORDS).view(np.int64) if yes else None
-                for yes, text in zip(hit, texts, strict=True)
-            )
-            yield pa.array(sets, pa.list_(pa.int64()))
-
-    own = F.coalesce(F.pmod(F.xxhash64(id_col), F.lit(FILTER_BITS)), F.lit(0))
-    found = docs.select(F.col(id_col).alias("node"), shingled(own, utf8(text_col)).alias("shingles"))
-    return found.filter("size(shingles) > 0").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    possible = "apart AND least_extra + least_cost <= most_left * " + str(p + q)
+    facts = cut_lineage(facts.filter(possible).drop("apart"))
+    # common differences are at most those left in the lists of both
+    as_one = ~F.col("linked") & (F.least("left", "most_left") * (p + q) >= F.col("extra") + F.col("least_cost"))
+    as_other = F.least("left", "most_unlinked") * (p + q) >= F.col("least_extra") + F.col("cost")
+    kept = cut_lineage(spread.join(facts, key).filter(as_one | as_other).select(*key, "node", "weight", "component", "linked"))
+    lists = kept.groupBy(*key).agg(F.max(F.struct("weight", "node")).alias("top"), F.min("linked").alias("all_linked"), apart.alias("apart"))
+    lists = cut_lineage(lists.filter("apart AND NOT all_linked").select(*key, F.col("top.node").alias("leader")))
+    pairs = kept.join(lists, key).filter("node <> leader").select("node", "weight", "leader").distinct()
+    if met is not None:
+        pairs = pairs.join(met.select("node", "leader"), ["node", "leader"], "left_anti")
+    return materialise(pairs, "meeting")
 
 
 def compare(node: np.ndarray, leader: np.ndarray) -> dict:
-    """How a set differs from its leader's, and which differences it has to share with a partner.
+    """Whether a set is linked to its leader's, and which differences from it it has to share with a partner.
 
     With p to q the threshold, r shingles of the leader missing and a added, the weight is q*r + p*a.
     For two sets with weights w and v and s common differences, intersection and union are linear in
@@ -193,78 +251,27 @@ def compare(node: np.ndarray, leader: np.ndarray) -> dict:
     needed = -(-(weight + 1) // (p + q)) if excess <= 0 else max(1, -(-excess // q))
     differences = np.concatenate([added, ~missing])
     return {
+        "linked": excess <= 0,
         "extra": excess,
+        "cost": weight,
         "size": number,
-        "weight": weight,
-        "linked": excess <= 0,
         "prefix": differences[: max(0, number - needed + 1)],
     }
 
 
 def compared(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Each pair of node and leader with the numbers of :func:`compare`."""
-    kind = pa.struct(
-        [("extra", pa.int32()), ("size", pa.int32()), ("weight", pa.int32()), ("linked", pa.bool_()), ("prefix", pa.list_(pa.int64()))]
-    )
 
     @F.arrow_udf(f"struct<{_fields(_FORM)}>")
     def form(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for nodes, leaders in batches:
-            yield pa.array((compare(a.values.to_numpy(), b.values.to_numpy()) for a, b in zip(nodes, leaders, strict=True)), kind)
+            yield pa.array((compare(a.values.to_numpy(), b.values.to_numpy()) for a, b in zip(nodes, leaders, strict=True)), _FORM_ARROW)
+        give_back()
 
     own = sets.withColumnRenamed("shingles", "own")
     others = sets.select(F.col("node").alias("leader"), F.col("shingles").alias("others"))
     joined = members.join(own, "node").join(others, "leader")
-    return joined.select("node", "leader", form("own", "others").alias("form")).select("node", "leader", "form.*")
-
-
-def sharing_differences(forms: DataFrame) -> DataFrame:
-    """Pairs of a node not linked to its leader and any other of that leader, with enough common differences."""
-    p, q = THRESHOLD
-    # leaders that have both a node not linked to them and a second node
-    open_leaders = (
-        forms.groupBy("leader")
-        .agg(F.min("linked").alias("all_linked"), F.count(F.lit(1)).alias("nodes"))
-        .filter("NOT all_linked AND nodes > 1")
-        .select("leader")
-    )
-    spread = forms.join(open_leaders, "leader").select(
-        "leader", "node", "extra", "size", "weight", "linked", F.posexplode("prefix").alias("place", "difference")
-    )
-    one = spread.filter("NOT linked").select(
-        "leader", "difference", F.col("node").alias("a"), "extra", F.col("size").alias("a_size"), F.col("place").alias("a_place")
-    )
-    other = spread.select(
-        "leader", "difference", F.col("node").alias("b"), "linked", "weight", F.col("size").alias("b_size"), F.col("place").alias("b_place")
-    )
-    most = F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
-    enough = most * (p + q) >= F.col("extra") + F.col("weight")
-    once = F.col("linked") & (F.col("a") != F.col("b")) | (F.col("a") < F.col("b"))
-    pairs = one.join(other, ["leader", "difference"]).filter(enough & once)
-    return pairs.select("a", "b").distinct()
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    p, q = THRESHOLD
-
-    @F.arrow_udf("boolean")
-    def similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for first, second in batches:
-            yield pa.array(
-                (_similar(a.values.to_numpy(), b.values.to_numpy(), p, q) for a, b in zip(first, second, strict=True)), pa.bool_()
-            )
-
-    def named(name: str) -> DataFrame:
-        return sets.select(F.col("node").alias(name), F.col("shingles").alias(f"{name}_set"))
-
-    joined = pairs.join(named("a"), "a").join(named("b"), "b")
-    return joined.select("a", "b", similar("a_set", "b_set").alias("linked")).filter("linked").select("a", "b")
-
-
-def _similar(a: np.ndarray, b: np.ndarray, p: int, q: int) -> bool:
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return q * common >= p * (len(a) + len(b) - common)
+    return joined.select("node", "weight", "leader", form("own", "others").alias("form")).select("node", "weight", "leader", "form.*")
 
 
 def _fields(columns: str) -> str:
@@ -273,6 +280,7 @@ def _fields(columns: str) -> str:
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, with all columns: the one with the smallest id."""
-    gone = near_duplicates(docs.select(id_col, text_col), id_col, text_col).filter("NOT kept")
-    gone = gone.select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    found = near_duplicates(docs.select(id_col, text_col), id_col, text_col)
+    # an id that also stays, with another text, stays whole
+    told = found.groupBy(F.col(id_col).alias("_gone")).agg(F.max("kept").alias("_kept")).filter("NOT _kept").select("_gone")
+    return docs.join(told, F.col(id_col) == F.col("_gone"), "left_anti")
