@@ -115,3 +115,59 @@ def test_sample_counts_distinct_pages(spark):
     frame = spark.createDataFrame(rows, "html string").repartition(5)
     sample = main_text.sample_pages(frame, "html")
     assert len(sample) == len(set(sample)) == main_text.SAMPLE_PAGES
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<p data-x=don't>Hello one</p><p>Middle text</p><p data-y=won't>Bye</p>", ["Hello one", "Middle text", "Bye"]),
+        ("<a href=x'>link</a> more <b title=\"a>b\">c</b> d'", ["link more c d'"]),
+        ("<p a= 'x>y' b=\"q'>z\">t</p><p a='unclosed>u</p><p>v</p>", ["t", "u", "v"]),
+        ("q <foo> c <my-tag class=side>in</my-tag> z<p>x", ["q c in z", "x"]),
+        ("<my-menu><p>a</p></my-menu><p>b</p>", ["a", "b"]),
+        ("<p>x<select><option>a<p>rest", ["x"]),
+    ],
+)
+def test_tags_as_browsers_read_them(page, texts):
+    assert [leaf.text for leaf in leaves(page)] == texts
+
+
+def test_names_of_custom_elements_are_in_the_path():
+    assert leaves("<my-menu class=Top><p>a</p></my-menu><p>b</p>")[0].path == ("my-menu", "top", "p")
+
+
+def neutral(page, draw):
+    """The page with plain containers and names that mean nothing, none of them seen in training."""
+    names = {}
+    page = re.sub(r"<(/?)(nav|header|footer|aside|main|article|section)\b", r"<\1div", page)
+    return re.sub(r'(class|id|role)="[^"]*"', lambda m: f'class="{names.setdefault(m[0], "k" + str(draw.integers(10**6)))}"', page)
+
+
+def test_unseen_pages_without_names(spark, labeller, medium):
+    seen = {row.html for row in table(spark, medium, "pages").collect()}
+    unseen = [row.html for row in table(spark, medium.replace("0.01", "0.1"), "pages").collect() if row.html not in seen][:400]
+    draw = np.random.default_rng(4)
+    frame = spark.createDataFrame([(k, neutral(page, draw)) for k, page in enumerate(unseen)], "k int, html string").repartition(8)
+    rows = main_text.extract(frame, labeller).collect()
+    assert sum(row.text == article(unseen[row.k]) for row in rows) >= 0.95 * len(unseen)
+
+
+def test_inference_is_the_forward_pass(labeller):
+    from txguard.llm import block_labeller
+
+    pages = [block_labeller.encode(leaves(RARE)), block_labeller.encode(leaves(RARE)[:4])]
+    whole, _ = labeller._run(pages)
+    fed, block_labeller.FED = block_labeller.FED, 3
+    assert np.allclose(labeller._scores(pages), whole)
+    block_labeller.FED = fed
+
+
+def test_very_long_page_in_bounded_memory(labeller):
+    import tracemalloc
+
+    page = leaves("<p>some text here." * 100_000)
+    tracemalloc.start()
+    (scores,) = labeller.label([page])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(scores) == 100_000 and peak < 200e6

@@ -7,6 +7,7 @@ is told main text or not with the whole page in view.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -19,8 +20,9 @@ from txguard.llm.html_leaves import Leaf
 PATH_SLOTS, WORD_SLOTS = 2048, 512
 PATH_SIZE, WORD_SIZE, SHAPE_SIZE, HIDDEN_SIZE = 16, 8, 6, 16
 INPUT_SIZE = PATH_SIZE + WORD_SIZE + SHAPE_SIZE
-EPOCHS, BATCH, RATE = 8, 16, 0.01
+EPOCHS, BATCH, RATE = 12, 16, 0.01
 PASS_CELLS = 8192
+FED = 4096  # blocks whose inputs are worked out at once
 SEED = 11
 
 
@@ -42,28 +44,34 @@ class Blocks:
     def __len__(self) -> int:
         return len(self.shape)
 
+    def part(self, start: int, end: int) -> Blocks:
+        """The blocks from ``start`` to before ``end``."""
+        if start == 0 and end == len(self):
+            return self
+        path, word = self.path_count[:start].sum(), self.word_count[:start].sum()
+        paths, words = self.path_count[start:end], self.word_count[start:end]
+        return Blocks(self.path[path : path + paths.sum()], paths, self.word[word : word + words.sum()], words, self.shape[start:end])
+
 
 def encode(page: list[Leaf]) -> Blocks:
-    paths = [[_slot(part, PATH_SLOTS) for part in set(leaf.path)] or [0] for leaf in page]
-    words = [[_slot(word, WORD_SLOTS) for word in leaf.text.lower().split()] for leaf in page]
-    shape = [
-        (
+    path, word = array("i"), array("i")
+    path_count, word_count = np.empty(len(page), np.int64), np.empty(len(page), np.int64)
+    shape = np.empty((len(page), SHAPE_SIZE))
+    for k, leaf in enumerate(page):
+        parts = set(leaf.path)
+        path.extend([_slot(part, PATH_SLOTS) for part in parts] or [0])
+        words = leaf.text.lower().split()
+        word.extend(_slot(one, WORD_SLOTS) for one in words)
+        path_count[k], word_count[k] = max(1, len(parts)), len(words)
+        shape[k] = (
             np.log1p(len(leaf.text)) / 5,
             min(1.0, leaf.linked / len(leaf.text)),
-            np.log1p(len(own)) / 4,
-            float(leaf.text[-1] in ".!?:\"'"),
+            np.log1p(len(words)) / 4,
+            leaf.text[-1] in ".!?:\"'",
             len(leaf.path) / 10,
             1.0,
         )
-        for leaf, own in zip(page, words, strict=True)
-    ]
-    return Blocks(
-        np.array([s for own in paths for s in own], np.int64),
-        np.array([len(own) for own in paths], np.int64),
-        np.array([s for own in words for s in own], np.int64),
-        np.array([len(own) for own in words], np.int64),
-        np.array(shape).reshape(len(page), SHAPE_SIZE),
-    )
+    return Blocks(np.frombuffer(path, np.int32) if path else np.empty(0, np.int32), path_count, np.frombuffer(word, np.int32) if word else np.empty(0, np.int32), word_count, shape)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -103,22 +111,54 @@ class Labeller:
         return out
 
     def _label_into(self, out: list[np.ndarray], pages: list[list[Leaf]], part: list[int]) -> None:
-        scores, _ = self._run([encode(pages[k]) for k in part])
+        scores = self._scores([encode(pages[k]) for k in part])
         for column, k in enumerate(part):
             out[k] = _sigmoid(scores[: len(pages[k]), column])
 
-    def _run(self, pages: list[Blocks]) -> tuple[np.ndarray, dict]:
-        """Scores by block and page, with what the gradient needs. Short pages are padded at the end."""
+    def _scores(self, pages: list[Blocks]) -> np.ndarray:
+        """The scores of :meth:`_run`, without what only the gradient needs: a step keeps its output's share of the score."""
+        w, size = self.w, HIDDEN_SIZE
+        x, mask = self._inputs(pages)
+        scores = x @ w["out"][2 * size :] + w["out_bias"]
+        for way, share in (("on", w["out"][:size]), ("back", w["out"][size : 2 * size])):
+            own = w[f"{way}_own"]
+            h = c = np.zeros((x.shape[1], size))
+            places = np.arange(len(x)) if way == "on" else np.arange(len(x) - 1, -1, -1)
+            for start in range(0, len(places), FED):
+                chosen = places[start : start + FED]
+                fed = x[chosen] @ w[f"{way}_in"] + w[f"{way}_bias"]
+                for t, z in zip(chosen, fed, strict=True):
+                    z = z + h @ own
+                    gates = _sigmoid(z[:, : 3 * size])
+                    new = gates[:, size : 2 * size] * c + gates[:, :size] * np.tanh(z[:, 3 * size :])
+                    m = mask[t]
+                    c = m * new + (1 - m) * c
+                    h = m * (gates[:, 2 * size :] * np.tanh(new)) + (1 - m) * h
+                    scores[t] += h @ share
+        return scores
+
+    def _inputs(self, pages: list[Blocks]) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors by block and page, and which of them are blocks. Short pages are padded at the end."""
         w = self.w
         steps = max(map(len, pages))
         x = np.zeros((steps, len(pages), INPUT_SIZE))
         mask = np.zeros((steps, len(pages), 1))
         for k, page in enumerate(pages):
             n = len(page)
-            x[:n, k, :PATH_SIZE] = _sums(w["path"], page.path, page.path_count)
-            x[:n, k, PATH_SIZE:-SHAPE_SIZE] = _sums(w["word"], page.word, page.word_count) / np.maximum(page.word_count, 1)[:, None]
+            for start in range(0, n, FED):
+                part = page.part(start, min(n, start + FED))
+                to = slice(start, start + len(part))
+                x[to, k, :PATH_SIZE] = _sums(w["path"], part.path, part.path_count)
+                x[to, k, PATH_SIZE:-SHAPE_SIZE] = _sums(w["word"], part.word, part.word_count) / np.maximum(part.word_count, 1)[:, None]
             x[:n, k, -SHAPE_SIZE:] = page.shape
             mask[:n, k] = 1
+        return x, mask
+
+    def _run(self, pages: list[Blocks]) -> tuple[np.ndarray, dict]:
+        """Scores by block and page, with what the gradient needs."""
+        w = self.w
+        x, mask = self._inputs(pages)
+        steps = len(x)
         on, on_kept = self._read("on", x, mask, range(steps))
         back, back_kept = self._read("back", x, mask, range(steps - 1, -1, -1))
         joined = np.concatenate([on, back, x], axis=2)

@@ -6,7 +6,7 @@ import html
 import re
 from dataclasses import dataclass
 
-# Elements inside a line of text; all others part blocks.
+# Elements inside a line of text.
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img",
     "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
@@ -15,6 +15,14 @@ INLINE = {
     "mover", "mpadded", "mphantom", "mprescripts", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup",
     "msup", "mtable", "mtd", "mtext", "mtr", "munder", "munderover", "semantics",
 }
+# Elements that part blocks. All others, custom ones too, stand inside a line, as browsers take them.
+PARTING = {
+    "address", "article", "aside", "blockquote", "body", "button", "caption", "center", "col", "colgroup", "datalist", "dd", "details",
+    "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "frame", "frameset", "h1", "h2", "h3", "h4",
+    "h5", "h6", "head", "header", "hgroup", "hr", "html", "input", "legend", "li", "link", "listing", "main", "marquee", "menu", "menuitem",
+    "meta", "nav", "ol", "optgroup", "option", "p", "plaintext", "pre", "search", "section", "summary", "table", "tbody", "td", "tfoot", "th",
+    "thead", "tr", "ul", "xmp",
+}
 # Elements without content, and those whose content is no text of the page.
 EMPTY = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 HIDDEN = "script|style|title|template|iframe|noscript|textarea|select"
@@ -25,7 +33,8 @@ ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({HIDDEN})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    # a quote opens a value only right behind the sign; elsewhere it is a character like others
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*+(?:\"[^\"]*\"|'[^']*')|[^>])*+)>"
     r"|</?[a-zA-Z]([^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
@@ -46,7 +55,9 @@ def leaves(page: str) -> list[Leaf]:
 
     Missing end tags are inferred as browsers do for paragraphs, list items and table cells; a tag
     that the page ends in is dropped, and so are comments and what :data:`HIDDEN` and closed
-    :data:`EMBEDDED` elements contain.
+    :data:`EMBEDDED` elements contain. A custom element stands inside a line, but its names are in
+    the path of the blocks within it. As in browsers, a :data:`HIDDEN` element without an end tag
+    hides the rest of the page.
     """
     out: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -86,7 +97,7 @@ def leaves(page: str) -> list[Leaf]:
                 else:
                     unclosed.add(name)
             continue
-        if name in INLINE:
+        if name in INLINE or name not in PARTING and "-" not in name:
             if name == "br":
                 pieces.append("\n")
             elif name == "mtd":
@@ -94,13 +105,14 @@ def leaves(page: str) -> list[Leaf]:
             elif name == "a":
                 in_link = not token[2]
             continue
-        finish()
+        if name in PARTING:
+            finish()
         if token[2]:
             places = [k for k, (tag, _) in enumerate(stack) if tag == name]
             if places:
                 del stack[places[-1] :]
         elif name not in EMPTY:
-            if stack and stack[-1][0] == "p":
+            if name in PARTING and stack and stack[-1][0] == "p":
                 stack.pop()
             ended = ENDED_BY.get(name, ())
             while ended and stack and stack[-1][0] in ended:

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txguard.llm.block_labeller import Labeller
-from txguard.llm.html_leaves import Leaf, leaves
+from txguard.llm.html_leaves import INLINE, PARTING, Leaf, leaves
 
 SAMPLE_PAGES = 200  # pages the labeller is trained on at most, chosen by a hash of the page
-VARIANTS = 5  # varied forms of each of them that are added
+VARIANTS = 8  # varied forms of each of them that are added
+NEUTRAL = 0.3  # share of the varied forms whose containers have lost their names
 SEED = 5
 
 # Names of tags, classes and ids that the training labels go by.
@@ -42,6 +43,9 @@ ASIDE_TEXTS = {
     "form": ["Subscribe to our newsletter", "Enter your e-mail address", "Log in to continue", "Share this on"],
     "comments": ["Great article, thanks for sharing!", "I don't agree with this at all.", "3 comments", "Reply"],
 }
+# Tags that name a part of a page by themselves.
+PART_TAGS = ["article", "aside", "dialog", "figure", "footer", "form", "header", "hgroup", "main", "menu", "nav", "search", "section"]
+_PLAIN_TAGS = (PARTING | INLINE) - set(PART_TAGS)
 _ASIDE = {name: kind for kind, names in ASIDE_NAMES.items() for name in names}
 _MAIN = set(MAIN_NAMES)
 
@@ -59,12 +63,23 @@ def weak_labels(page: list[Leaf]) -> np.ndarray:
 
 
 def varied(page: list[Leaf], labels: np.ndarray, others: list[str], draw: np.random.Generator) -> tuple[list[Leaf], np.ndarray]:
-    """The page in another build: parts renamed, and further parts put around and into the main text."""
+    """The page in another build: parts renamed, and further parts put around and into the main text.
+
+    Some builds are neutral: containers are plain ones and their names mean nothing, so that texts,
+    shapes and the rest of the page have to tell.
+    """
     main_name = str(draw.choice(MAIN_NAMES))
-    keep_tag = draw.random() < 0.3
+    neutral = draw.random() < NEUTRAL
+    keep_tag = not neutral and draw.random() < 0.3
     renamed: dict[str, str] = {}
 
     def rename(part: str) -> str:
+        if neutral:
+            if part in _PLAIN_TAGS:
+                return part
+            if part not in renamed:
+                renamed[part] = "div" if part in PART_TAGS else f"c{draw.integers(0, 1000)}"
+            return renamed[part]
         if keep_tag or part not in _MAIN and part not in _ASIDE:
             return part
         if part in _MAIN:
@@ -75,6 +90,8 @@ def varied(page: list[Leaf], labels: np.ndarray, others: list[str], draw: np.ran
 
     def rebuilt(leaf: Leaf, label: float) -> Leaf:
         path = tuple(map(rename, leaf.path))
+        if label and draw.random() < 0.04:  # paragraphs of a word
+            return Leaf(path, leaf.text.split()[0].strip(".,;:!?") + ".", 0)
         if not label or draw.random() < 0.7:
             return Leaf(path, leaf.text, leaf.linked)
         tag = MAIN_TAGS[draw.integers(len(MAIN_TAGS))]
@@ -94,7 +111,7 @@ def varied(page: list[Leaf], labels: np.ndarray, others: list[str], draw: np.ran
         for _ in range(int(draw.integers(1, 7))):
             text = str(draw.choice(others)) if others and draw.random() < 0.5 else str(draw.choice(ASIDE_TEXTS[kind]))
             leaf_tag = str(draw.choice(["p", "li", "div", "h2", "h3"]))
-            blocks.append((Leaf((*base, *tag, name, leaf_tag), text, len(text) if draw.random() < 0.3 else 0), 0.0))
+            blocks.append((Leaf(tuple(map(rename, (*base, *tag, name, leaf_tag))) if neutral else (*base, *tag, name, leaf_tag), text, len(text) if draw.random() < 0.3 else 0), 0.0))
         at = len(out) if kind in ("comments", "footer") else int(draw.integers(0, len(out) + 1))
         out[at:at] = blocks
     return [leaf for leaf, _ in out], np.array([label for _, label in out])
