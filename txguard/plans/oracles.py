@@ -286,6 +286,13 @@ def oracles() -> dict[str, str]:
         "bounded_read_cap": f"{BOUNDED} ORDER BY ts, event_id LIMIT 1000",
         "bounded_read_newest": f"{BOUNDED} ORDER BY ts DESC, event_id DESC LIMIT 1000",
         "bounded_read_ties": TIES,
+        "stream_until_idle": (
+            "SELECT date_trunc('hour', ts) AS hour, event_type, COUNT(*) AS n, ROUND(SUM(value), 6) AS value, 'idle' AS stopped_by "
+            "FROM events GROUP BY ALL"
+        ),
+        "stream_until_rows": (
+            "SELECT n, n AS distinct_events, n AS known, 'rows' AS stopped_by FROM (SELECT GREATEST(1, COUNT(*) // 4) AS n FROM events)"
+        ),
         "decode_whitespace": _with(f"SELECT {FIELDS}, bad_json FROM raw", RAW),
         "decode_json": _with(f"SELECT {FIELDS}, bad_json FROM raw", RAW),
         "coerce_types": _with(f"{TYPED_FIELDS} typed", RAW),

@@ -19,7 +19,7 @@ from txguard.session import prepare, spread, work_path
 from txguard.sources import package
 from txguard.sources import run_log as runs
 from txguard.sources.tables import read_table, stream_table
-from txguard.streaming import sinks
+from txguard.streaming import bounded, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -508,6 +508,35 @@ def stream_progress(spark, directory):
     )
 
 
+def _event_stream(spark, directory, files: int):
+    """The events as a stream of so many files, a file for each batch."""
+    folder = work_path(spark, "event_files")
+    events = read_table(spark, directory, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    events.repartition(files).write.parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query
+def stream_until_idle(spark, directory):
+    """All that a stream brings until it falls silent, by hour: a bounded read that ends by itself."""
+    read = bounded.read_until_idle(_event_stream(spark, directory, 6), idle_seconds=1.0)
+    hour = F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour")
+    counted = read.rows.groupBy(hour, "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"))
+    return rounded(counted.withColumn("stopped_by", F.lit(read.stopped_by)))
+
+
+@query
+def stream_until_rows(spark, directory):
+    """A stream read until a quarter of its rows have arrived: how many there are then, and how many are rows of the table."""
+    events = read_table(spark, directory, "events").select("event_id", "ts", "value")
+    wanted = max(1, events.count() // 4)
+    read = bounded.read_until_idle(_event_stream(spark, directory, 8), 60.0, wanted, ["ts", "event_id"])
+    found = read.rows.select("event_id", "ts", "value").join(events.withColumn("known", F.lit(1)), ["event_id", "ts", "value"], "left")
+    return found.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("distinct_events"), F.count("known").alias("known")
+    ).withColumn("stopped_by", F.lit(read.stopped_by))
+
+
 # ---- learning -----------------------------------------------------------------------------
 
 
