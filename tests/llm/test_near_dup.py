@@ -51,7 +51,9 @@ def test_corpus(spark, corpus):
     assert found(near_duplicates(frame)) == brute(corpus)
 
 
-def test_group_around_a_text_that_links_it(spark):
+@pytest.mark.parametrize("few", [0, near_dup.FEW])
+def test_group_around_a_text_that_links_it(spark, monkeypatch, few):
+    monkeypatch.setattr(near_dup, "FEW", few)
     # copies with edits of their own: alike through the base only, some of them not linked to it
     base = [f"w{k}" for k in range(120)]
     draw = np.random.default_rng(2)
@@ -88,13 +90,16 @@ def test_groups_that_share_lists_but_no_link(spark, monkeypatch):
                 words[place] = f"x{group}n{k}p{place}"
             rows.append((10_000 * group + k, " ".join(common + words)))
     pairs = []
-    plain = near_dup.compared
 
-    def counted(members, sets):
-        pairs.append(members.count())
-        return plain(members, sets)
+    def counted(plain):
+        def count(members, sets):
+            pairs.append(members.count())
+            return plain(members, sets)
 
-    monkeypatch.setattr(near_dup, "compared", counted)
+        return count
+
+    for name in ("compared", "confirmed"):
+        monkeypatch.setattr(near_dup, name, counted(getattr(near_dup, name)))
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(row.doc_id // 10_000, row.component_id) for row in got} == {(1, 10_000), (2, 20_000)}
     assert sum(pairs) <= 10 * len(rows)

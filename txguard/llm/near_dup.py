@@ -8,8 +8,8 @@ A list is not turned into all its pairs. Its most connected text leads it, and e
 compared with the leader on full sets. What two texts of a list have in common beyond the leader
 shows in their differences from it: a pair that is linked although one of the two is not linked to
 the leader must share many differences (the bound is in :func:`compare`). So the texts are posted
-once more, under leader and difference, and each of these lists that holds a text not linked to the
-leader gets a leader of its own, and so on. Leaders of such lists are the strongest of their texts
+once more, under leader and difference. Of these lists, those that hold a text not linked to the
+leader and more than ``FEW`` that the bound leaves get a leader of their own, and so on. Leaders of such lists are the strongest of their texts
 in one order of all texts, so they become weaker step by step and every pair ends with a leader that
 both are linked to, or with a comparison of the two. Lists whose texts are connected already are
 done. A step costs rows, not pairs of them.
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txguard.llm.components import connected
@@ -35,6 +35,8 @@ THRESHOLD = (3, 4)  # intersection to union, as whole numbers
 # times in a million, and less often above the threshold.
 COORDINATES = 64
 MATCHES = 32
+# Texts of a list of differences that are compared each with each, instead of with a leader.
+FEW = 64
 
 _MARKS = "n int, digest binary, signature array<long>"
 _MARKS_ARROW = pa.struct([("n", pa.int32()), ("digest", pa.binary()), ("signature", pa.list_(pa.int64()))])
@@ -106,17 +108,22 @@ def linked_nodes(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str)
     forms = materialise(compared(members, sets), "forms")
     labels = materialise(connected(_links(forms), "a", "b"), "labels")
     met = None
-    fresh = _meeting(forms, labels, None)
-    while not fresh.isEmpty():
+    while True:
+        touched = forms if met is None else met.join(forms.select("leader").distinct(), "leader", "left_semi")
+        few, many = _meeting(touched, labels, met)
+        if few is None:
+            return labels
         # tables, not checkpoints: a plan's size estimate would grow with every round
-        forms = materialise(compared(fresh, sets), "forms")
+        links = materialise(confirmed(few, sets), "links")
+        if not many.isEmpty():
+            forms = materialise(compared(many, sets), "forms")
+            links = links.union(_links(forms))
+            # a list grows when texts come to its leader later on, so all texts of a leader with new ones are looked at
+            met = forms if met is None else met.unionByName(forms)
         stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        labels = materialise(connected(stars.union(_links(forms)), "a", "b"), "labels")
-        met = forms if met is None else met.unionByName(forms)
-        # a list grows when texts come to its leader later on, so all texts of a leader with new ones are looked at
-        touched = met.join(forms.select("leader").distinct(), "leader", "left_semi")
-        fresh = _meeting(touched, labels, met)
-    return labels
+        labels = materialise(connected(stars.union(links), "a", "b"), "labels")
+        if many.isEmpty():
+            return labels
 
 
 def _links(forms: DataFrame) -> DataFrame:
@@ -191,12 +198,14 @@ def sets_of(members: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     return found.select("node", "shingles").dropDuplicates(["node"])
 
 
-def _meeting(forms: DataFrame, labels: DataFrame, met: DataFrame | None) -> DataFrame:
-    """Node, weight and leader of the lists of differences that may hold a link between components.
+def _meeting(forms: DataFrame, labels: DataFrame, met: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """What is left to compare in the lists of differences that may hold a link between components.
 
     A link that is looked for has a node that is not linked to the leader the differences are from;
-    the bounds of :func:`compare` rule nodes out that can have none in a list. Pairs in ``met`` have
-    been compared already. The leader of a list is its strongest node.
+    the bounds of :func:`compare` rule nodes out that can have none in a list. Pairs ``a``, ``b`` of
+    the lists with ``FEW`` nodes or less come first. Of the others, node, weight and leader come
+    second: the leader is the strongest node of its list; pairs in ``met`` have been compared already.
+    Nothing where no list is left.
     """
     p, q = THRESHOLD
     of = labels.select("node", F.col("component").alias("_component"))
@@ -209,25 +218,48 @@ def _meeting(forms: DataFrame, labels: DataFrame, met: DataFrame | None) -> Data
         F.col("leader").alias("under"), "node", "weight", "component", "linked", "extra", "cost", "size", F.posexplode("prefix").alias("place", "difference")
     ).withColumn("left", F.col("size") - F.col("place"))
     key = ["under", "difference"]
+    linked = F.col("linked")
     facts = spread.groupBy(*key).agg(
         least_extra,
         apart.alias("apart"),
-        F.min("cost").alias("least_cost"),
-        F.max("left").alias("most_left"),
-        F.max(F.when(~F.col("linked"), F.col("left"))).alias("most_unlinked"),
+        F.min(F.when(linked, F.col("cost"))).alias("least_linked"),
+        F.max(F.when(linked, F.col("left"))).alias("most_linked"),
+        F.min(F.when(~linked, F.col("cost"))).alias("least_other"),
+        F.max(F.when(~linked, F.col("left"))).alias("most_other"),
+        F.count_if(~linked).alias("others"),
     )
-    possible = "apart AND least_extra + least_cost <= most_left * " + str(p + q)
-    facts = cut_lineage(facts.filter(possible).drop("apart"))
-    # common differences are at most those left in the lists of both
-    as_one = ~F.col("linked") & (F.least("left", "most_left") * (p + q) >= F.col("extra") + F.col("least_cost"))
-    as_other = F.least("left", "most_unlinked") * (p + q) >= F.col("least_extra") + F.col("cost")
-    kept = cut_lineage(spread.join(facts, key).filter(as_one | as_other).select(*key, "node", "weight", "component", "linked"))
-    lists = kept.groupBy(*key).agg(F.max(F.struct("weight", "node")).alias("top"), F.min("linked").alias("all_linked"), apart.alias("apart"))
-    lists = cut_lineage(lists.filter("apart AND NOT all_linked").select(*key, F.col("top.node").alias("leader")))
-    pairs = kept.join(lists, key).filter("node <> leader").select("node", "weight", "leader").distinct()
+    facts = materialise(facts.filter("apart AND others > 0").drop("apart"), "facts")
+
+    def enough(left: Column, cost: Column) -> Column:
+        """Whether so many common differences can be left that two nodes are linked."""
+        return F.coalesce(left * (p + q) >= cost, F.lit(False))
+
+    # common differences are at most those left in the lists of both; a partner is linked to the leader or is not
+    as_one = enough(F.least("left", "most_linked"), F.col("extra") + F.col("least_linked")) | (
+        (F.col("others") > 1) & enough(F.least("left", "most_other"), F.col("extra") + F.col("least_other"))
+    )
+    as_other = enough(F.least("left", "most_other"), F.col("least_extra") + F.col("cost"))
+    as_one, as_other = ~linked & as_one, linked & as_other
+    kept = spread.join(facts, key).filter(as_one | as_other)
+    kept = materialise(kept.select(*key, "node", "weight", "component", "linked", "extra", "cost", "left"), "kept")
+    lists = kept.groupBy(*key).agg(
+        F.max(F.struct("weight", "node")).alias("top"), F.min("linked").alias("all_linked"), apart.alias("apart"), F.count(F.lit(1)).alias("n")
+    )
+    lists = materialise(lists.filter("apart AND NOT all_linked").select(*key, F.col("top.node").alias("leader"), "n"), "lists")
+    if lists.isEmpty():
+        return None, None
+    short = kept.join(lists.filter(F.col("n") <= FEW).select(*key), key)
+    one = short.filter("NOT linked").select(
+        *key, F.col("node").alias("a"), F.col("component").alias("a_component"), "extra", F.col("left").alias("a_left")
+    )
+    other = short.select(*key, F.col("node").alias("b"), F.col("component").alias("b_component"), "cost", F.col("left").alias("b_left"))
+    close = enough(F.least("a_left", "b_left"), F.col("extra") + F.col("cost"))
+    few = one.join(other, key).filter(close & (F.col("a_component") != F.col("b_component")))
+    few = few.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    many = kept.join(lists.filter(F.col("n") > FEW).select(*key, "leader"), key).filter("node <> leader").select("node", "weight", "leader").distinct()
     if met is not None:
-        pairs = pairs.join(met.select("node", "leader"), ["node", "leader"], "left_anti")
-    return materialise(pairs, "meeting")
+        many = many.join(met.select("node", "leader"), ["node", "leader"], "left_anti")
+    return materialise(few, "few"), materialise(many, "many")
 
 
 def compare(node: np.ndarray, leader: np.ndarray) -> dict:
@@ -274,6 +306,30 @@ def compared(members: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("node", "weight", "leader", form("own", "others").alias("form")).select("node", "weight", "leader", "form.*")
 
 
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
+    p, q = THRESHOLD
+
+    @F.arrow_udf("boolean")
+    def similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for first, second in batches:
+            yield pa.array(
+                (_similar(a.values.to_numpy(), b.values.to_numpy(), p, q) for a, b in zip(first, second, strict=True)), pa.bool_()
+            )
+        give_back()
+
+    def named(name: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), F.col("shingles").alias(f"{name}_set"))
+
+    joined = pairs.join(named("a"), "a").join(named("b"), "b")
+    return joined.select("a", "b", similar("a_set", "b_set").alias("linked")).filter("linked").select("a", "b")
+
+
+def _similar(a: np.ndarray, b: np.ndarray, p: int, q: int) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return q * common >= p * (len(a) + len(b) - common)
+
+
 def _fields(columns: str) -> str:
     return ", ".join(f"{name}: {kind}" for name, kind in (column.split(" ") for column in columns.split(", ")))
 
