@@ -90,9 +90,9 @@ def _roc_auc_sum():
     )
 
 
-def average_precision(ranked: DataFrame) -> DataFrame:
-    """Step sum over the PR curve; 0 without positives."""
-    return ranked.agg(_average_precision_sum().alias("average_precision"))
+def average_precision(ranked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Step sum over the PR curve; 0 without positives. One row, or one for each ``by``."""
+    return ranked.groupBy(*by).agg(_average_precision_sum().alias("average_precision"))
 
 
 def roc_auc(ranked: DataFrame) -> DataFrame:

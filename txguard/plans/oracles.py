@@ -253,6 +253,30 @@ weighing AS (
     FROM inputs WHERE split = 'train'
 )"""
 
+# Gradients and hessians at even odds by node, feature and bin, and the sums on both sides of every split.
+BINNED = """
+cells AS (
+    SELECT CAST(is_weekend AS INT) AS node, f.feature, f.bin,
+           CASE WHEN is_fraud = 1 THEN w ELSE 1.0 END * (0.5 - is_fraud) AS g, CASE WHEN is_fraud = 1 THEN w ELSE 1.0 END * 0.25 AS h
+    FROM weighing, inputs, LATERAL (VALUES
+        (0, CAST(LEAST(FLOOR(amount / 25), 63) AS INT)), (1, CAST(transaction_hour AS INT)),
+        (2, CAST(merchant_risk AS INT)), (3, CAST(FLOOR(user_id_mod_500 / 10) AS INT))) f(feature, bin)
+    WHERE split = 'train'
+),
+summed AS (SELECT node, feature, bin, SUM(g) AS g, SUM(h) AS h FROM cells GROUP BY ALL),
+sides AS (
+    SELECT node, feature, bin, SUM(g) OVER upto AS gl, SUM(h) OVER upto AS hl, SUM(g) OVER beyond AS gr, SUM(h) OVER beyond AS hr
+    FROM summed
+    WINDOW upto AS (PARTITION BY node, feature ORDER BY bin),
+           beyond AS (PARTITION BY node, feature ORDER BY bin ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+)"""
+
+SPLIT_GAINS = """
+SELECT node, feature, bin, ROUND(gl, 6) AS gl, ROUND(hl, 6) AS hl, ROUND(gr, 6) AS gr, ROUND(hr, 6) AS hr,
+       ROUND(POWER(GREATEST(ABS(gl) - 0.5, 0), 2) / (hl + 2) + POWER(GREATEST(ABS(gr) - 0.5, 0), 2) / (hr + 2)
+             - POWER(GREATEST(ABS(gl + gr) - 0.5, 0), 2) / (hl + hr + 2), 6) AS gain
+FROM sides WHERE hl >= 3 AND hr >= 3"""
+
 
 ALERTS = """
 SELECT transaction_id AS "key", transaction_id, user_id, amount, merchant, location, is_fraud,
@@ -466,6 +490,8 @@ def oracles() -> dict[str, str]:
             BUCKETED,
             TRAINING,
         ),
+        "boost_split_gains": _with(SPLIT_GAINS, BUCKETED, TRAINING, BINNED),
+        "boosted_parity": _with("SELECT COUNT(*) AS n, CAST(0 AS BIGINT) AS mismatches FROM inputs WHERE split = 'train'", BUCKETED, TRAINING),
         "stream_batch_parity": _with("SELECT COUNT(*) AS streamed, CAST(0 AS BIGINT) AS mismatches FROM tx"),
         "stream_progress": _with(
             "SELECT (SELECT COUNT(*) FROM events) AS input_rows, COUNT(*) AS messages, COUNT(reason) AS unusable FROM reasoned",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txguard.functions import features
-from txguard.operators import balance, cap, decode, featurize, metrics, patterns, quality, ranked, scoring
+from txguard.operators import balance, boosting, cap, decode, featurize, metrics, patterns, quality, ranked, scoring
 from txguard.operators.exact_split import assign_exact_folds, assign_exact_split
 from txguard.plans import scoring as scoring_plan
 from txguard.plans import training, views
@@ -25,6 +25,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Small search for the registered queries; the full lists are the default of the training plan.
 QUICK_SPACE = {"maxIter": [3, 5], "maxDepth": [2, 3], "stepSize": [0.1, 0.3]}
+# The nine lists of the booster as they are, but for the number of trees.
+QUICK_BOOST = {**training.BOOST_SPACE, "n_estimators": [3, 5]}
 FIXED_THRESHOLD = 0.5
 
 _REGISTRY: dict[str, Query] = {}
@@ -581,6 +583,47 @@ def search_results(spark, directory):
     return rounded(training.search_table(spark, found))
 
 
+@query
+def boost_split_gains(spark, directory):
+    """The regularised gains of one level: gradients and hessians at even odds, by node, feature and bin."""
+    train = training.labelled_features(_learnable(spark, directory)).filter(F.col("split") == "train")
+    weighing = train.agg((F.count_if(F.col(LABEL) == 0) / F.count_if(F.col(LABEL) == 1)).alias("w")).first()
+    weight = F.when(F.col(LABEL) == 1, F.lit(float(weighing.w))).otherwise(1.0)
+    bins = {
+        0: F.least(F.floor(F.col("amount") / 25), F.lit(63)),
+        1: F.col("transaction_hour"),
+        2: F.col("merchant_risk"),
+        3: F.floor(F.col("user_id_mod_500") / 10),
+    }
+    cells = [F.struct(F.lit(k).alias("feature"), column.cast("int").alias("bin")) for k, column in bins.items()]
+    found = train.select(F.col("is_weekend").cast("int").alias("node"), (weight * (0.5 - F.col(LABEL))).alias("g"), (weight * 0.25).alias("h"), F.inline(F.array(*cells)))
+    sums = found.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+    gains = boosting.split_gains(sums, ["node"], F.lit(0.5), F.lit(2.0), F.lit(3.0))
+    return rounded(gains.select("node", "feature", "bin", "gl", "hl", "gr", "hr", "gain"))
+
+
+@query
+def boosted_search(spark, directory):
+    """All nine search lists, points and folds side by side."""
+    prepared = training.prepare_table(_learnable(spark, directory), folds=2)
+    found = training.search_boosted(prepared, QUICK_BOOST, n_iter=3, folds=2)
+    rows = [(rank, params, mean, std) for rank, params, mean, std in found.ranking()]
+    return rounded(spark.createDataFrame(rows, "rank int, params string, mean_score double, std_score double"))
+
+
+@query
+def boosted_parity(spark, directory):
+    """Rows scored by a saved-up booster, and how many the sums kept beside the training rows score otherwise."""
+    prepared = training.prepare_table(_learnable(spark, directory))
+    binned = boosting.bin_rows(prepared.train)
+    (model,) = boosting.fit(binned, [(boosting.Point(4, 3, 0.3, reg_alpha=0.1), None)])
+    kept = boosting.log_odds(binned, [model]).select("row", F.col("log_odds")[0].alias("kept"))
+    scored = binned.with_features.select("row", model.score(F.col("x")).alias("p"))
+    differs = F.abs(F.log(F.col("p") / (1 - F.col("p"))) - F.col("kept")) > 1e-6
+    joined = scored.join(kept, "row", "full")
+    return joined.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce(differs, F.lit(True))).alias("mismatches"))
+
+
 @query
 def train_evaluate(spark, directory):
     return rounded(training.metrics_row(spark, _quick_training(_learnable(spark, directory))))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from txguard.functions.buckets import SEED
 from txguard.functions.features import HIGH_RISK_MERCHANTS
+from txguard.operators import boosting
 from txguard.operators.balance import (
     add_weight,
     assign_fold,
@@ -31,7 +32,7 @@ from txguard.operators.scoring import SCORE, score_with_model
 from txguard.schema import FEATURES, LABEL, NUMERIC_FEATURES
 from txguard.session import cut_lineage, materialise, shared_dir, spread
 
-# The searched lists. The learner has no counterpart for L1 and L2 terms.
+# The searched lists of Spark's own learner, which has no counterpart for L1 and L2 terms.
 SEARCH_SPACE = {
     "maxIter": [200, 300, 500, 700],
     "maxDepth": [3, 4, 5, 6],
@@ -42,6 +43,19 @@ SEARCH_SPACE = {
     "minInfoGain": [0.0, 0.1, 0.3, 0.5],
 }
 
+# The searched lists of the second-order booster, which has all terms.
+BOOST_SPACE = {
+    "n_estimators": [200, 300, 500, 700],
+    "max_depth": [3, 4, 5, 6],
+    "learning_rate": [0.02, 0.05, 0.08, 0.1],
+    "subsample": [0.7, 0.8, 0.9, 1.0],
+    "colsample_bytree": [0.7, 0.8, 0.9, 1.0],
+    "min_child_weight": [1, 3, 5, 10],
+    "gamma": [0, 0.1, 0.3, 0.5],
+    "reg_alpha": [0, 0.01, 0.1, 0.5],
+    "reg_lambda": [1, 2, 5, 10],
+}
+
 # Search effort and shares.
 N_ITER = 20
 FOLDS = 3
@@ -180,6 +194,17 @@ def search(
     return validator.fit(train)
 
 
+def search_boosted(
+    prepared: Prepared, space: Mapping[str, Sequence] = BOOST_SPACE, n_iter: int = N_ITER, folds: int = FOLDS, seed: int = SEED
+) -> boosting.Searched:
+    """Random search of the second-order booster over the training part, all points and folds side by side.
+
+    ``prepared`` has to have been made with the same number of folds.
+    """
+    binned = boosting.bin_rows(prepared.train)
+    return boosting.search(binned, draw_params(space, n_iter, seed), folds, seed)
+
+
 def search_table(spark: SparkSession, found: CrossValidatorModel) -> DataFrame:
     """One row per tried point: parameters, mean and deviation of the score, rank."""
     trials = found.getEstimatorParamMaps()
