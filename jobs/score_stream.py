@@ -18,6 +18,7 @@ from txguard.plans.scoring import alerts, model_scorer, score_messages  # noqa:
 from txguard.session import get_session  # noqa: E402
 from txguard.sources import kafka  # noqa: E402
 from txguard.sources.package import load_package  # noqa: E402
+from txguard.streaming.delivery import Delivery  # noqa: E402
 from txguard.streaming.sinks import ProgressLog, file_writer, reject_stream  # noqa: E402
 
 SCORING = "scoring"
@@ -27,6 +28,7 @@ def main(argv: list[str] | None = None) -> list[StreamingQuery]:
     args = common.parser("Score a stream of messages")
     args.add_argument("--checkpoint", required=True, help="folder that every executor reaches")
     args.add_argument("--alerts", help="output directory; without it alerts go to the output topic")
+    args.add_argument("--deliver", help="directory for alerts, rejects and counts from one parse, each row once, instead")
     args.add_argument("--exclude", nargs="*", default=[], help="columns left out of the alerts, such as is_fraud")
     args.add_argument("--max-offsets-per-trigger", type=int)
     args.add_argument("--progress", help="directory of the progress table, one row for each batch")
@@ -37,6 +39,12 @@ def main(argv: list[str] | None = None) -> list[StreamingQuery]:
     loaded = load_package(spark, options.package)
     loaded.require_same_list(options.high_risk_merchants)
     messages = common.stream_messages(spark, options)
+    if options.deliver:
+        out = Delivery(spark, options.deliver, model_scorer(loaded.model), loaded.threshold, loaded.high_risk, options.exclude)
+        writer = out.writer(messages, options.checkpoint).queryName(SCORING)
+        running = (writer.trigger(availableNow=True) if options.available_now else writer).start()
+        running.awaitTermination()
+        return [running]
     scored = score_messages(messages, model_scorer(loaded.model), loaded.threshold, loaded.high_risk, counted=True)
     found = alerts(scored, options.exclude)
     if options.alerts:

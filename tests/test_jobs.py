@@ -6,6 +6,7 @@ from jobs import publish, score_batch, score_stream, train
 from txguard.plans import views
 from txguard.schema import FIELDS
 from txguard.sources import run_log
+from txguard.streaming.delivery import Delivery
 
 
 @pytest.fixture(scope="module")
@@ -54,6 +55,10 @@ def test_scoring_jobs_agree(spark, home):
     assert "is_fraud" in json.loads(batch.first().value) and "is_fraud" not in json.loads(stream.first().value)
     rejects = [spark.read.parquet(str(home / name)).count() for name in ("batch_rejects", "stream_rejects")]
     assert rejects == [624, 624]
+    score_stream.main([*common, "--deliver", str(home / "delivered"), "--checkpoint", str(home / "state2"), "--available-now"])
+    out = Delivery(spark, str(home / "delivered"), None, 0.5)
+    assert sorted(r.key for r in out.read("alerts").collect()) == sorted(r.key for r in batch.collect())
+    assert out.read("rejects").count() == 624 and out.counts().first().messages == 10_000
     seen = spark.read.parquet(str(home / "progress")).selectExpr("sum(messages)", "sum(unusable)").first()
     assert tuple(seen) == (10_000, 624)
 

@@ -481,6 +481,10 @@ def oracles() -> dict[str, str]:
         "stream_features": _with(MESSAGE_FEATURES, RAW),
         "stream_score_files": _with(ALERTS, DECIDED),
         "stream_rejects": _with(REJECTED, RAW),
+        "stream_delivery_alerts": _with(ALERTS, DECIDED),
+        "stream_delivery_rejects": _with(
+            REJECTED.replace("\nFROM reasoned", ", COUNT(*) OVER () AS unusable, (SELECT COUNT(*) FROM reasoned) AS messages FROM reasoned"), RAW
+        ),
         "training_table": _with(
             "SELECT split, COUNT(*) AS n, CAST(SUM(is_fraud) AS BIGINT) AS positives, "
             "ROUND(SUM(CASE WHEN is_fraud = 1 THEN w ELSE 1.0 END), 3) AS weight, "

@@ -19,7 +19,7 @@ from txguard.session import prepare, spread, work_path
 from txguard.sources import package
 from txguard.sources import run_log as runs
 from txguard.sources.tables import read_table, stream_table
-from txguard.streaming import bounded, sinks
+from txguard.streaming import bounded, delivery, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -488,6 +488,30 @@ def stream_rejects(spark, directory):
     return rows.select(*FIELDS, "reason")
 
 
+def _delivered(spark, name: str, messages: DataFrame) -> delivery.Delivery:
+    home = work_path(spark, name)
+    out = delivery.Delivery(spark, f"{home}/out", _fixed_scorer, FIXED_THRESHOLD)
+    sinks.run_available(out.writer(messages, f"{home}/checkpoint"))
+    return out
+
+
+@query
+def stream_delivery_alerts(spark, directory):
+    """Alerts of a stream that writes alerts, rejects and counts from one parse."""
+    messages = views.clean_messages(_stream_tx(spark, directory))
+    return _parsed_alerts(_delivered(spark, "stream_delivery_alerts", messages).read(delivery.ALERTS))
+
+
+@query
+def stream_delivery_rejects(spark, directory):
+    """Rejects of such a stream, and beside each what its batch counted."""
+    messages = views.messages(views.raw_fields(_stream_tx(spark, directory)))
+    out = _delivered(spark, "stream_delivery_rejects", messages)
+    counted = out.counts().agg(F.sum("messages").alias("messages"), F.sum("unusable").alias("unusable")).first()
+    rows = out.read(delivery.REJECTS).select(*FIELDS, "reason")
+    return rows.withColumns({"messages": F.lit(counted.messages), "unusable": F.lit(counted.unusable)})
+
+
 @query
 def stream_progress(spark, directory):
     """Counts over a dozen batches, where the session itself keeps the last two only."""
