@@ -175,7 +175,14 @@ def op13_prefix_target_chat(spark, directory):
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_content_sort": CONTENT_SORT, "op11_cogrouped_merkle": COGROUPED_MERKLE, "op12_debruijn_collocations": DEBRUIJN_COLLOCATIONS, "op13_prefix_target_chat": PREFIX_TARGET_CHAT}
+    return {
+        "op6_content_sort": CONTENT_SORT,
+        "op9_wu_manber": WINDOW_JOIN,
+        "op10_minhash_postings": SHINGLE_PAIRS,
+        "op11_cogrouped_merkle": COGROUPED_MERKLE,
+        "op12_debruijn_collocations": DEBRUIJN_COLLOCATIONS,
+        "op13_prefix_target_chat": PREFIX_TARGET_CHAT,
+    }
 
 
 CONTENT_SORT = r"""
@@ -320,3 +327,65 @@ WITH t AS (
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM best QUALIFY rank <= 2000
 """
+
+WINDOW_JOIN = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), b AS (
+  SELECT item_id, ws, least(10, len(ws)) AS size FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM benchmark
+  ) WHERE len(ws) > 0
+), windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(ws[i : i + size - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(ws) - size + 2)) AS i FROM b)
+), sizes AS (
+  SELECT DISTINCT size FROM windows
+), places AS (
+  SELECT doc_id, size, i, array_to_string(ws[i : i + size - 1], ' ') AS w
+  FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, sizes)
+), hits AS (
+  SELECT doc_id, item_id, i, size FROM places JOIN windows USING (size, w)
+), covered AS (
+  SELECT doc_id, count(DISTINCT at_word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS at_word FROM (SELECT DISTINCT doc_id, i, size FROM hits)) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered ON covered.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+"""
+
+SHINGLE_PAIRS = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+  WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)
+), both_ways AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON e.a = r.other
+), least AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN sizes ON sizes.doc_id = d.doc_id JOIN least ON least.doc_id = d.doc_id
+"""
