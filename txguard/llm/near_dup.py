@@ -8,8 +8,10 @@ A list is not turned into all its pairs. Its most connected text leads it, and e
 compared with the leader on full sets. What two texts of a list have in common beyond the leader
 shows in their differences from it: a pair that is linked although one of the two is not linked to
 the leader must share many differences (the bound is in :func:`compare`). So the texts are posted
-once more, under leader and difference. Of these lists, those that hold a text not linked to the
-leader and more than ``FEW`` that the bound leaves get a leader of their own, and so on. Leaders of such lists are the strongest of their texts
+once more, under leader and difference. These lists, if they hold a text not linked to the leader,
+get a leader of their own. That connects groups of near copies. What is then still apart, and not
+ruled out by the bound, is compared each with each in lists of up to ``FEW`` texts; larger ones go on
+with further leaders. Leaders of such lists are the strongest of their texts
 in one order of all texts, so they become weaker step by step and every pair ends with a leader that
 both are linked to, or with a comparison of the two. Lists whose texts are connected already are
 done. A step costs rows, not pairs of them.
@@ -35,8 +37,9 @@ THRESHOLD = (3, 4)  # intersection to union, as whole numbers
 # times in a million, and less often above the threshold.
 COORDINATES = 64
 MATCHES = 32
-# Texts of a list of differences that are compared each with each, instead of with a leader.
-FEW = 64
+# Texts of a list of differences that are compared each with each, instead of with a leader, where a first round
+# with leaders has left the list open.
+FEW = 1000
 
 _MARKS = "n int, digest binary, signature array<long>"
 _MARKS_ARROW = pa.struct([("n", pa.int32()), ("digest", pa.binary()), ("signature", pa.list_(pa.int64()))])
@@ -110,19 +113,19 @@ def linked_nodes(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str)
     met = None
     while True:
         touched = forms if met is None else met.join(forms.select("leader").distinct(), "leader", "left_semi")
-        few, many = _meeting(touched, labels, met)
-        if few is None:
+        few, many = _meeting(touched, labels, met, 0 if met is None else FEW)
+        if few is None and many is None:
             return labels
         # tables, not checkpoints: a plan's size estimate would grow with every round
-        links = materialise(confirmed(few, sets), "links")
-        if not many.isEmpty():
+        links = materialise(confirmed(few, sets), "links") if few is not None else None
+        if many is not None:
             forms = materialise(compared(many, sets), "forms")
-            links = links.union(_links(forms))
+            links = _links(forms) if links is None else links.union(_links(forms))
             # a list grows when texts come to its leader later on, so all texts of a leader with new ones are looked at
             met = forms if met is None else met.unionByName(forms)
         stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = materialise(connected(stars.union(links), "a", "b"), "labels")
-        if many.isEmpty():
+        if many is None:
             return labels
 
 
@@ -198,14 +201,14 @@ def sets_of(members: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     return found.select("node", "shingles").dropDuplicates(["node"])
 
 
-def _meeting(forms: DataFrame, labels: DataFrame, met: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
+def _meeting(forms: DataFrame, labels: DataFrame, met: DataFrame | None, limit: int) -> tuple[DataFrame | None, DataFrame | None]:
     """What is left to compare in the lists of differences that may hold a link between components.
 
     A link that is looked for has a node that is not linked to the leader the differences are from;
     the bounds of :func:`compare` rule nodes out that can have none in a list. Pairs ``a``, ``b`` of
-    the lists with ``FEW`` nodes or less come first. Of the others, node, weight and leader come
+    the lists with at most ``limit`` nodes come first. Of the others, node, weight and leader come
     second: the leader is the strongest node of its list; pairs in ``met`` have been compared already.
-    Nothing where no list is left.
+    None where there is nothing of the kind.
     """
     p, q = THRESHOLD
     of = labels.select("node", F.col("component").alias("_component"))
@@ -246,20 +249,25 @@ def _meeting(forms: DataFrame, labels: DataFrame, met: DataFrame | None) -> tupl
         F.max(F.struct("weight", "node")).alias("top"), F.min("linked").alias("all_linked"), apart.alias("apart"), F.count(F.lit(1)).alias("n")
     )
     lists = materialise(lists.filter("apart AND NOT all_linked").select(*key, F.col("top.node").alias("leader"), "n"), "lists")
-    if lists.isEmpty():
-        return None, None
-    short = kept.join(lists.filter(F.col("n") <= FEW).select(*key), key)
-    one = short.filter("NOT linked").select(
-        *key, F.col("node").alias("a"), F.col("component").alias("a_component"), "extra", F.col("left").alias("a_left")
-    )
-    other = short.select(*key, F.col("node").alias("b"), F.col("component").alias("b_component"), "cost", F.col("left").alias("b_left"))
-    close = enough(F.least("a_left", "b_left"), F.col("extra") + F.col("cost"))
-    few = one.join(other, key).filter(close & (F.col("a_component") != F.col("b_component")))
-    few = few.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    many = kept.join(lists.filter(F.col("n") > FEW).select(*key, "leader"), key).filter("node <> leader").select("node", "weight", "leader").distinct()
-    if met is not None:
-        many = many.join(met.select("node", "leader"), ["node", "leader"], "left_anti")
-    return materialise(few, "few"), materialise(many, "many")
+    sizes = lists.agg(F.count_if(F.col("n") <= limit).alias("few"), F.count_if(F.col("n") > limit).alias("many")).first()
+    few = many = None
+    if sizes.few:
+        short = kept.join(lists.filter(F.col("n") <= limit).select(*key), key)
+        one = short.filter("NOT linked").select(
+            *key, F.col("node").alias("a"), F.col("component").alias("a_component"), "extra", F.col("left").alias("a_left")
+        )
+        other = short.select(*key, F.col("node").alias("b"), F.col("component").alias("b_component"), "cost", F.col("left").alias("b_left"))
+        close = enough(F.least("a_left", "b_left"), F.col("extra") + F.col("cost"))
+        pairs = one.join(other, key).filter(close & (F.col("a_component") != F.col("b_component")))
+        few = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "few")
+    if sizes.many:
+        long = kept.join(lists.filter(F.col("n") > limit).select(*key, "leader"), key).filter("node <> leader")
+        many = long.select("node", "weight", "leader").distinct()
+        if met is not None:
+            many = many.join(met.select("node", "leader"), ["node", "leader"], "left_anti")
+        many = materialise(many, "many")
+        many = None if many.isEmpty() else many
+    return few, many
 
 
 def compare(node: np.ndarray, leader: np.ndarray) -> dict:
