@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from txguard.operators import patterns
@@ -106,3 +107,26 @@ def test_long_list_copies_hot_users_only(spark):
     assert [row.user_id for row in patterns._hot_users(rows).collect()] == [7]
     spread = marked.collect()
     assert sum(row.user_id == 7 for row in spread) >= 1000
+
+
+# Chi-square statistics and their upper tails, from published tables.
+@pytest.mark.parametrize(
+    ("statistic", "freedom", "beyond"),
+    [(3.841459, 1, 0.05), (7.814728, 3, 0.05), (11.344867, 3, 0.01), (0.584374, 3, 0.9), (18.307038, 10, 0.05), (0.0, 3, 1.0), (5000.0, 3, 0.0)],
+)
+def test_upper_tail_of_chi_square(spark, statistic, freedom, beyond):
+    row = spark.range(1).select(patterns.chi_square_beyond(F.lit(statistic), freedom).alias("p")).first()
+    assert row.p == pytest.approx(beyond, abs=1e-6)
+
+
+def test_fit_to_a_mix(spark):
+    counts = {"account_takeover": 45, "card_testing": 30, "merchant_collusion": 25, None: 70, "other": 9}
+    frame = spark.createDataFrame([(name,) for name, n in counts.items() for _ in range(n)], "pattern string")
+    rows = {row.pattern: row for row in patterns.pattern_fit(frame).collect()}
+    assert {name: (row.n, row.expected) for name, row in rows.items()} == {
+        "account_takeover": (45, 40.0), "card_testing": (30, 30.0), "merchant_collusion": (25, 20.0), "geo_anomaly": (0, 10.0)
+    }
+    assert rows["geo_anomaly"].statistic == pytest.approx(25 / 40 + 25 / 20 + 10) and rows["geo_anomaly"].p_value == pytest.approx(0.0078, abs=1e-3)
+    assert {(row.statistic, row.p_value) for row in patterns.pattern_fit(frame.filter("false")).collect()} == {(0.0, 1.0)}
+    with pytest.raises(ValueError):
+        patterns.pattern_fit(frame, {"a": 0.5})

@@ -18,6 +18,8 @@ GEO_USER_STEP = 500
 HIGH_RISK_LOCATIONS = ["CN", "RU", "NG"]
 
 PATTERNS = ["account_takeover", "card_testing", "merchant_collusion", "geo_anomaly"]
+# How the patterns are said to share the fraud cases.
+STATED_MIX = {"account_takeover": 0.4, "card_testing": 0.3, "merchant_collusion": 0.2, "geo_anomaly": 0.1}
 
 
 def account_takeover(on_watch_list: Column) -> Column:

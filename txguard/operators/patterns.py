@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from math import lgamma
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txguard.functions import rules
@@ -99,3 +101,45 @@ def pattern_summary(with_pattern: DataFrame) -> DataFrame:
     )
     share = F.col("n") / F.sum("n").over(Window.partitionBy())
     return grouped.select("pattern", "n", share.alias("share"), "n_fraud", "fraud_rate")
+
+
+# Terms of the series of the incomplete gamma function, and the statistic from which its complement is nothing.
+TERMS = 1500
+NO_CHANCE = 1000.0
+
+
+def pattern_fit(with_pattern: DataFrame, mix: Mapping[str, float] = rules.STATED_MIX) -> DataFrame:
+    """How the rows with a pattern are shared among the patterns, against a stated mix.
+
+    One row for each pattern of ``mix``, also for those without rows: ``n``, the ``expected`` number, their
+    difference over the root of the expected number (``residual``), and for all together the
+    chi-square ``statistic`` and its ``p_value``, the chance of one as large where the mix holds.
+    Without any rows the statistic is 0 and the chance 1. Patterns outside the mix do not count.
+    """
+    if abs(sum(mix.values()) - 1) > 1e-9 or min(mix.values()) <= 0:
+        raise ValueError("the shares of a mix are positive and sum up to 1")
+    wide = with_pattern.agg(*[F.count_if(F.col("pattern") == name).alias(name) for name in mix])
+    total = reduce(lambda a, b: a + b, (F.col(name) for name in mix))
+    rows = [F.struct(F.lit(name).alias("pattern"), F.col(name).alias("n"), (total * share).alias("expected")) for name, share in mix.items()]
+    told = wide.select(F.array(*rows).alias("rows"))
+    off = F.aggregate("rows", F.lit(0.0), lambda sum_, x: sum_ + F.coalesce(F.try_divide((x["n"] - x["expected"]) ** 2, x["expected"]), F.lit(0.0)))
+    fitted = told.withColumn("statistic", off).withColumn("p_value", chi_square_beyond(F.col("statistic"), len(mix) - 1))
+    each = fitted.select(F.explode("rows").alias("row"), "statistic", "p_value")
+    residual = F.coalesce(F.try_divide(F.col("row.n") - F.col("row.expected"), F.sqrt("row.expected")), F.lit(0.0))
+    return each.select("row.pattern", "row.n", "row.expected", residual.alias("residual"), "statistic", "p_value")
+
+
+def chi_square_beyond(statistic: Column, freedom: int) -> Column:
+    """The chance that a chi-square variable is larger: one less the series of the lower incomplete gamma function."""
+    if freedom <= 0:
+        return F.lit(1.0)
+    a, x = freedom / 2, statistic / 2
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+
+    def step(done: Column, k: Column) -> Column:
+        term = done["term"] * x / (k + a)
+        return F.struct(term.alias("term"), (done["sum"] + term).alias("sum"))
+
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, step, lambda done: done["sum"])
+    lower = F.exp(a * F.log(x) - x - lgamma(a + 1) + F.log(series))
+    return F.when(statistic <= 0, 1.0).when(statistic >= NO_CHANCE, 0.0).otherwise(F.greatest(F.lit(0.0), 1 - lower))

@@ -277,6 +277,20 @@ SELECT node, feature, bin, ROUND(gl, 6) AS gl, ROUND(hl, 6) AS hl, ROUND(gr, 6)
              - POWER(GREATEST(ABS(gl + gr) - 0.5, 0), 2) / (hl + hr + 2), 6) AS gain
 FROM sides WHERE hl >= 3 AND hr >= 3"""
 
+# The upper tail of the chi-square distribution with three degrees of freedom, by the series of its logarithms.
+PATTERN_FIT = """
+, mix(pattern, share) AS (
+    VALUES ('account_takeover', 0.4), ('card_testing', 0.3), ('merchant_collusion', 0.2), ('geo_anomaly', 0.1)
+),
+fitted AS (
+    SELECT mix.pattern, COUNT(patterned.pattern) AS n, CAST(share AS DOUBLE) * SUM(COUNT(patterned.pattern)) OVER () AS expected
+    FROM mix LEFT JOIN patterned USING (pattern) GROUP BY mix.pattern, share
+),
+whole AS (SELECT SUM(POWER(n - expected, 2) / expected) AS x FROM fitted WHERE expected > 0)
+SELECT pattern, n, ROUND(expected, 4) AS expected, ROUND((n - expected) / SQRT(expected), 4) AS residual, ROUND(x, 4) AS statistic,
+       ROUND(CASE WHEN x >= 1000 THEN 0 ELSE 1 - (SELECT SUM(EXP((1.5 + k) * LN(x / 2) - x / 2 - LGAMMA(2.5 + k))) FROM range(1500) r(k)) END, 4) AS p_value
+FROM fitted, whole"""
+
 
 ALERTS = """
 SELECT transaction_id AS "key", transaction_id, user_id, amount, merchant, location, is_fraud,
@@ -365,6 +379,7 @@ def oracles() -> dict[str, str]:
             "FROM patterned GROUP BY pattern",
             WATCHED,
         ),
+        "pattern_fit": _with(PATTERN_FIT, WATCHED),
         "fraud_rate": _with("SELECT COUNT(*) AS n, ROUND(AVG(is_fraud), 6) AS fraud_rate FROM tx"),
         "class_balance": _with(
             "SELECT COUNT(*) FILTER (WHERE is_fraud = 1) AS positive, COUNT(*) FILTER (WHERE is_fraud = 0) AS negative, "

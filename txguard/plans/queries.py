@@ -260,6 +260,12 @@ def pattern_summary(spark, directory):
     return rounded(patterns.pattern_summary(_patterned(spark, directory)))
 
 
+@query
+def pattern_fit(spark, directory):
+    """The mix of the patterns against the stated one."""
+    return rounded(patterns.pattern_fit(_patterned(spark, directory)), 4)
+
+
 # ---- balance and split --------------------------------------------------------------------
 
 
