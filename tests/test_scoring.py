@@ -1,4 +1,5 @@
 import json
+import pickle
 from pathlib import Path
 
 import pytest
@@ -32,6 +33,34 @@ def test_adapter_takes_function_or_model(spark, small):
         scoring.score_with_python(features)
 
 
+def test_file_is_loaded_once_by_a_worker(spark, small, tmp_path):
+    features = add_features(views.transactions(spark, small)).repartition(24)
+    spark.sparkContext.addPyFile(str(Path(__file__).with_name("amount_model.py")))
+    place, loads = tmp_path / "amount-model-7.pickle", str(tmp_path)
+    place.write_bytes(pickle.dumps(AmountModel()))
+
+    def load(path):
+        import os
+        import uuid
+
+        Path(f"{loads}/load-{os.getpid()}-{uuid.uuid4().hex}").touch()
+        return pickle.loads(Path(path).read_bytes())
+
+    scored = scoring.score_with_file(features, str(place), load)
+    for _ in range(2):
+        assert scored.filter((F.col("fraud_probability") == 1.0) != (F.col("amount") > 500)).isEmpty()
+    by_model = scoring.score_with_python(features, model=AmountModel())
+    assert sorted(r.fraud_probability for r in scored.collect()) == sorted(r.fraud_probability for r in by_model.collect())
+    workers = [found.name.split("-")[1] for found in tmp_path.glob("load-*")]
+    assert workers and len(workers) == len(set(workers))
+
+
+def test_large_models_are_not_broadcast(spark, small, monkeypatch):
+    monkeypatch.setattr(scoring, "MAX_BROADCAST_BYTES", 10)
+    with pytest.raises(ValueError, match="score_with_file"):
+        scoring.score_with_python(add_features(views.transactions(spark, small)), model=AmountModel())
+
+
 def test_python_model_runs_once(spark, small):
     messages = views.clean_messages(views.transactions(spark, small))
 
