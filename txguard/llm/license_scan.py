@@ -112,7 +112,7 @@ def _rarity(frequencies: tuple[dict[str, int], int]) -> dict[str, float]:
 
 
 def _anchor(phrase: str) -> int:
-    """Place of the word of a phrase that is looked for first: its longest index word."""
+    """Place of the word of a phrase that is looked for first: its first index word."""
     parts = phrase.split()
     return max(range(len(parts)), key=lambda k: (parts[k] not in COMMON_WORDS, -k))
 

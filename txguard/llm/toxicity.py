@@ -216,7 +216,8 @@ def _logit(p: float) -> float:
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` with the toxicity of every whole text, from 0 to 1. Null and empty texts count as no words.
+    """``docs`` with the toxicity of every whole text, from 0 to 1. Null and empty texts count as no words;
+    a word of more than ``LONGEST`` bytes counts by its beginnings only.
 
     A column of that name is replaced, all others stay; repeated rows get equal scores; nothing is
     shuffled. The model has at most ``FEATURES`` weights and is sent to the executors once.
