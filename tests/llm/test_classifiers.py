@@ -102,3 +102,43 @@ def test_sample_is_bounded(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", "'t' AS text")
     labels = spark.range(3000).selectExpr("id AS doc_id", "1 AS toxic")
     assert 300 < labelled.labelled_sample(docs, labels, "toxic", F.lit(True), rows=500).count() < 700
+
+
+def test_all_labelled_texts_count(spark):
+    # more rows than the sample of the toxicity classifier has; the texts all differ in their features
+    rows = spark.range(45_000).selectExpr("id AS doc_id", "crc32(cast(id AS string)) AS h")
+    docs = rows.selectExpr("doc_id", "concat_ws(' ', cast(h AS string), repeat('ab ', int(h % 61)), repeat('c. ', int(h % 53)), hex(h)) AS text")
+    labels = rows.selectExpr("doc_id", "int(h % 61 + h % 7 < 20) AS quality")
+    odd = spark.createDataFrame([(0, "another text of the id"), (None, "no id")], "doc_id long, text string")
+    docs, labels = docs.unionByName(odd), labels.unionByName(labels.limit(10))
+    assert pairwise_quality.shapes(docs, labels, F.lit(True)).count() == 45_000
+    model = pairwise_quality.fit(docs, labels, F.lit(True))
+    scores = pairwise_quality.score(rows.join(docs, "doc_id").filter("text <> 'another text of the id'"), model)
+    scores = sorted(row.score for row in scores.select("score").collect())
+    # the threshold parts off as many texts as are labelled bad, of all of them
+    bad = labels.distinct().filter("quality = 0").count()
+    assert len(scores) == 45_000 and scores[bad - 1] <= 0.3 + 1e-9 and scores[bad] >= 0.3 - 1e-9
+    again = pairwise_quality.fit(docs.repartition(5), labels, F.lit(True))
+    assert np.array_equal(model.edges, again.edges) and np.array_equal(model.weights, again.weights) and model.shift == again.shift
+
+
+def test_sums_over_all_pairs():
+    draw = np.random.default_rng(5)
+    x, y = draw.normal(size=(300, 3)), draw.integers(0, 2, 300)
+
+    def total(function):
+        return function(iter([(x[:100], y[:100]), (x[100:], y[100:])]))
+
+    found = pairwise_quality._ordered(total, lambda x, y: [x[:, 0], x[y == 1][:, 1]], [[0, 150, 299], [7]])
+    assert found == [{k: np.sort(x[:, 0])[k] for k in (0, 150, 299)}, {7: np.sort(x[y == 1][:, 1])[7]}]
+    edges = pairwise_quality._edges(total, 3, (y == 0).sum(), (y == 1).sum())
+    weights = draw.normal(size=(3, pairwise_quality.BINS))
+    pairs, model = pairwise_quality._Pairs(total, edges, weights), pairwise_quality.Model(edges, weights, 0.0)
+    raw, size = model.raw(x), weights.size
+    present = np.zeros((300, size))
+    present[np.arange(300)[:, None], model.places(x)] = 1
+    apart = raw[y == 1][:, None] - raw[y == 0][None, :]
+    assert abs(pairs.loss - np.logaddexp(0, -apart).mean() - pairwise_quality.DECAY / 2 * (weights**2).sum()) < 1e-4
+    wrong = 1 / (1 + np.exp(apart)) / apart.size
+    slope = wrong.sum(axis=0) @ present[y == 0] - wrong.sum(axis=1) @ present[y == 1] + pairwise_quality.DECAY * weights.ravel()
+    assert np.abs(pairs.derivatives()[0] - slope).max() < 1e-5

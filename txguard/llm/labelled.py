@@ -1,4 +1,4 @@
-"""A bounded sample of labelled texts to fit a classifier on."""
+"""Labels that may be learned from, and a bounded sample of labelled texts to fit a classifier on."""
 
 from __future__ import annotations
 
@@ -22,6 +22,12 @@ def held_out(id_col: str, divisor: int, part: int) -> Column:
     return F.coalesce(remainder(id_col, divisor) == part, F.lit(False))
 
 
+def known_labels(labels: DataFrame, label: str, learnable: Column, id_col: str = "doc_id") -> DataFrame:
+    """``_labelled``, the id, and ``label``: those of 0 and 1 that may be learned, the largest of several for one id."""
+    told = labels.filter(F.col(label).isin(0, 1) & learnable & F.col(id_col).isNotNull())
+    return told.groupBy(F.col(id_col).alias("_labelled")).agg(F.max(label).alias("label"))
+
+
 def labelled_sample(
     docs: DataFrame,
     labels: DataFrame,
@@ -37,11 +43,7 @@ def labelled_sample(
     the largest counts; of several texts with one id the least. The chosen labels are few, so they
     are broadcast and the documents are not shuffled.
     """
-    known = (
-        labels.filter(F.col(label).isin(0, 1) & learnable & F.col(id_col).isNotNull())
-        .groupBy(F.col(id_col).alias("_labelled"))
-        .agg(F.max(label).alias("label"))
-    )
+    known = known_labels(labels, label, learnable, id_col)
     share = min(1.0, rows / max(1, known.count()))
     chosen = known.filter(F.pmod(F.xxhash64("_labelled"), F.lit(_SLOTS)) < int(share * _SLOTS))
     texts = docs.select(F.col(id_col).alias("_labelled"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
