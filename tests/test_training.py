@@ -136,3 +136,20 @@ def test_model_runs_once_per_row(spark, medium, trained):
     assert plan.count("AS probability#") == 1
     assert plan.count("from_json(") == 1
     assert "Python" not in plan
+
+
+def test_what_a_task_of_the_learner_holds_does_not_grow_with_the_rows(spark, medium, learnable, monkeypatch):
+    per_row = training.row_bytes(25)
+    monkeypatch.setattr(training, "TASK_BYTES", 400 * per_row)
+    prepared = training.prepare_table(learnable, folds=2)
+    rows = prepared.train.rdd
+    assert prepared.size("train") > 4000 and rows.getNumPartitions() >= prepared.size("train") // 400
+    assert max(rows.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()) <= 440
+    found = training.search(prepared.train, training.classifier(), training.draw_params(SPACE, 1, 1), folds=2, parallelism=1)
+    assert len(found.avgMetrics) == 1
+    labelled = training.labelled_features(learnable)
+    dealt = training.learner_rows(labelled)
+    assert dealt.rdd.getNumPartitions() == -(-labelled.count() // 400)
+    assert dealt.exceptAll(labelled).isEmpty() and labelled.exceptAll(dealt).isEmpty()
+    monkeypatch.setattr(training, "TASK_BYTES", 2**40)
+    assert training.learner_rows(labelled) is labelled
