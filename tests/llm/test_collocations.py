@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from txguard.llm import collocations as c
@@ -98,3 +99,13 @@ def test_products_beyond_64_bits(spark):
         " div (cast(90000000000007 as decimal(18, 0)) * cast(90000000000009 as decimal(18, 0))) AS s"
     ).first()
     assert row.s == 1000 * 90000000000001 * 99999999999999 // (90000000000007 * 90000000000009)
+
+
+def test_packed_pairs_hold_their_counts():
+    codes = np.random.default_rng(2).integers(0, 40, 5000) * 13_007
+    expected = Counter((int(a) << 32 | int(b)) for a, b in zip(codes, codes[1:], strict=False) if a and b)
+    found = Counter()
+    for _, packed in c.packed_pairs(codes):
+        pairs, counts = c.unpacked_pairs(packed)
+        found.update(dict(zip(pairs.tolist(), counts.tolist(), strict=True)))
+    assert found == expected

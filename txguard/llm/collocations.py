@@ -9,6 +9,7 @@ all grams of one word more that begin with it, and the pieces that end with it,
 
 from __future__ import annotations
 
+import zlib
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -33,6 +34,8 @@ _BITS = 20  # enough for the number of a word told
 HANDED = 200_000
 # Words counted in a task before the counts are handed on.
 COUNTED = 500_000
+# Places whose pairs of words are counted in a task before the counts are handed on.
+PAIRS_COUNTED = 2_000_000
 
 # Lower-cases A-Z, ends a piece at the bytes of [.,;:!?\x0A-\x0D], and parts words at space and tab.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -183,13 +186,99 @@ def _runs(codes: np.ndarray, pairs: np.ndarray | None, length: int) -> pa.Record
     return pa.RecordBatch.from_arrays(columns, GRAM[:length])
 
 
+def packed_pairs(codes: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Bucket, and counted pairs in it as bytes: sorted, as steps from one to the next, before the counts."""
+    at = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
+    first, second = codes[at], codes[at + 1]
+    # the second word's last bits come next to the first word, as both make the bucket
+    keys = first << _BITS | (second & 15) << (_BITS - 4) | second >> 4
+    keys, counts = np.unique(keys, return_counts=True)
+    mixed = (keys >> (_BITS - 4)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    buckets = (mixed >> np.uint64(52)).astype(np.int64)
+    order = np.argsort(buckets, kind="stable")
+    keys, counts, buckets = keys[order], counts[order], buckets[order]
+    for part in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(buckets)) + 1):
+        if len(part):
+            own = np.stack([np.diff(keys[part], prepend=0), counts[part]])
+            # equal bytes of the numbers side by side, most of which are zero
+            yield int(buckets[part[0]]), zlib.compress(own.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked_pairs(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs as ``w1 << 32 | w2`` and their counts."""
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    steps, counts = np.ascontiguousarray(planes.T).view(np.int64).reshape(2, -1)
+    keys = np.cumsum(steps)
+    low = keys & (2**_BITS - 1)
+    second = (low & (2 ** (_BITS - 4) - 1)) << 4 | low >> (_BITS - 4)
+    return keys >> _BITS << 32 | second, counts
+
+
+def pair_counts(docs: DataFrame, vocabulary: Vocabulary, least: int, text_col: str, lang_col: str) -> DataFrame:
+    """``pair``, two numbered words as ``w1 << 32 | w2``, and its occurrences ``f``, at least ``least``.
+
+    Tasks count first and pack their counts for the way; then the counts of one bucket after the other are added up.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = vocabulary.codes()
+        parts = array("q")
+
+        def told() -> pa.RecordBatch:
+            found = list(packed_pairs(np.array(parts, np.int64)))
+            del parts[:]
+            columns = [pa.array([bucket for bucket, _ in found], pa.int32()), pa.array([packed for _, packed in found], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["bucket", "packed"])
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+                code = codes[lang.as_py()].__getitem__
+                for words in pieces_of(text.as_py()):
+                    parts.extend(map(code, words))
+                    parts.append(0)
+                if len(parts) > PAIRS_COUNTED:
+                    yield told()
+        yield told()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held, size, room = None, [], 0, PAIRS_COUNTED
+
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            pairs, place = np.unique(np.concatenate([own for own, _ in held]), return_inverse=True)
+            sums = np.zeros(len(pairs), np.int64)
+            np.add.at(sums, place, np.concatenate([counts for _, counts in held]))
+            return pairs, sums
+
+        def told() -> pa.RecordBatch:
+            pairs, sums = added()
+            often = sums >= least
+            return pa.RecordBatch.from_arrays([pa.array(pairs[often]), pa.array(sums[often])], ["pair", "f"])
+
+        for batch in batches:
+            for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if bucket != last and held:
+                    yield told()
+                    held, size, room = [], 0, PAIRS_COUNTED
+                last = bucket
+                held.append(unpacked_pairs(packed.as_py()))
+                size += len(held[-1][0])
+                if size > room:
+                    held = [added()]
+                    size = len(held[0][0])
+                    room = max(PAIRS_COUNTED, 2 * size)
+        if held:
+            yield told()
+
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = _texts(docs, text_col, lang_col).mapInArrow(count, "bucket int, packed binary")
+    return packed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "pair long, f long")
+
+
 def frequent_pairs(docs: DataFrame, vocabulary: Vocabulary, least: int, text_col: str, lang_col: str):
     """The pairs of words that are frequent, as a broadcast sorted array; nothing where they are too many to be told."""
     if not vocabulary.numbered:
         return None
-    pair = F.shiftleft(F.col("w1").cast("long"), 32) + F.col("w2")
-    counted = grams(docs, vocabulary, None, 2, text_col, lang_col).groupBy(pair.alias("pair")).agg(F.count(F.lit(1)).alias("f"))
-    frequent = cut_lineage(counted.filter(F.col("f") >= least).select("pair"))
+    frequent = cut_lineage(pair_counts(docs, vocabulary, least, text_col, lang_col).select("pair"))
     if frequent.count() > PAIRS_TOLD:
         return None
     table = frequent.toArrow().column("pair").to_numpy()
