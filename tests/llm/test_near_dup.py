@@ -105,6 +105,33 @@ def test_groups_that_share_lists_but_no_link(spark, monkeypatch):
     assert sum(pairs) <= 10 * len(rows)
 
 
+def test_family_just_below_the_threshold(spark, monkeypatch):
+    # every two share most of a text and nearly all that sets them apart from a leader, but few are linked: those
+    # that are not must not be put together pair by pair
+    draw = np.random.default_rng(7)
+    rows = []
+    for doc in range(300):
+        words = [f"w{k}" for k in range(400)]
+        for place in draw.choice(80, 9, replace=False):
+            words[5 * place + 2] = f"x{doc}n{place}"
+        rows.append((doc, " ".join(words)))
+        if doc % 30 == 0:
+            rows.append((1000 + doc, " ".join([f"y{doc}", *words[1:]])))
+    pairs = []
+
+    def counted(plain):
+        def count(members, sets):
+            pairs.append(members.count())
+            return plain(members, sets)
+
+        return count
+
+    for name in ("compared", "confirmed"):
+        monkeypatch.setattr(near_dup, name, counted(getattr(near_dup, name)))
+    assert found(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert sum(pairs) <= 50 * len(rows)
+
+
 @pytest.mark.parametrize("turned", [False, True])
 def test_repeated_ids(spark, turned):
     a = " ".join(f"a{k}" for k in range(60))

@@ -8,9 +8,11 @@ A list is not turned into all its pairs. Its most connected text leads it, and e
 compared with the leader on full sets. What two texts of a list have in common beyond the leader
 shows in their differences from it: a pair that is linked although one of the two is not linked to
 the leader must share many differences (the bound is in :func:`compare`). So the texts are posted
-once more, under leader and difference. These lists, if they hold a text not linked to the leader,
-get a leader of their own. That connects groups of near copies. What is then still apart, and not
-ruled out by the bound, is compared each with each in lists of up to ``FEW`` texts; larger ones go on
+once more, under leader and difference, again only under the rarest of their differences: what a text
+has to itself comes first and what a whole family shares comes last, so that texts meet where enough
+is left to link them. These lists, if they hold a text not linked to the leader, get a leader of their
+own. That connects groups of near copies. What is then still apart, and not ruled out by the bound, is
+compared each with each in lists of up to ``FEW`` texts; larger ones go on
 with further leaders. Leaders of such lists are the strongest of their texts
 in one order of all texts, so they become weaker step by step and every pair ends with a leader that
 both are linked to, or with a comparison of the two. Lists whose texts are connected already are
@@ -44,9 +46,16 @@ FEW = 1000
 _MARKS = "n int, digest binary, signature array<long>"
 _MARKS_ARROW = pa.struct([("n", pa.int32()), ("digest", pa.binary()), ("signature", pa.list_(pa.int64()))])
 _SET = pa.struct([("digest", pa.binary()), ("shingles", pa.list_(pa.int64()))])
-_FORM = "linked boolean, extra int, cost int, size int, prefix array<long>"
+_FORM = "linked boolean, extra int, cost int, size int, prefix array<long>, rest array<long>"
 _FORM_ARROW = pa.struct(
-    [("linked", pa.bool_()), ("extra", pa.int32()), ("cost", pa.int32()), ("size", pa.int32()), ("prefix", pa.list_(pa.int64()))]
+    [
+        ("linked", pa.bool_()),
+        ("extra", pa.int32()),
+        ("cost", pa.int32()),
+        ("size", pa.int32()),
+        ("prefix", pa.list_(pa.int64())),
+        ("rest", pa.list_(pa.int64())),
+    ]
 )
 
 
@@ -215,13 +224,22 @@ def _meeting(forms: DataFrame, labels: DataFrame, met: DataFrame | None, limit:
     rows = forms.join(of, "node", "left").withColumn("component", F.coalesce("_component", "node")).drop("_component")
     least_extra = F.min(F.when(~F.col("linked"), F.col("extra"))).alias("least_extra")
     apart = F.min("component") < F.max("component")
-    groups = cut_lineage(rows.groupBy("leader").agg(least_extra, apart.alias("apart")).filter("apart AND least_extra IS NOT NULL").drop("apart"))
-    near = rows.join(groups, "leader").filter(~F.col("linked") | (F.col("size") * (p + q) >= F.col("least_extra") + F.col("cost")))
-    spread = near.select(
-        F.col("leader").alias("under"), "node", "weight", "component", "linked", "extra", "cost", "size", F.posexplode("prefix").alias("place", "difference")
-    ).withColumn("left", F.col("size") - F.col("place"))
-    key = ["under", "difference"]
+    groups = rows.groupBy("leader").agg(least_extra, F.min("cost").alias("least_cost"), apart.alias("apart"))
+    groups = cut_lineage(groups.filter("apart AND least_extra IS NOT NULL").drop("apart"))
     linked = F.col("linked")
+
+    def enough(left: Column, cost: Column) -> Column:
+        """Whether so many common differences can be left that two nodes are linked."""
+        return F.coalesce(left * (p + q) >= cost, F.lit(False))
+
+    # what a node and the cheapest partner that its leader's list can have for it come to
+    cheapest = F.when(linked, F.col("least_extra") + F.col("cost")).otherwise(F.col("extra") + F.col("least_cost"))
+    near = rows.join(groups, "leader").withColumn("cheapest", cheapest).withColumn("needed", F.col("size") - F.size("prefix") + 1)
+    near = near.filter((F.size("prefix") > 0) & enough(F.col("size"), F.col("cheapest"))).withColumnRenamed("leader", "under")
+    near = materialise(near.drop("least_extra", "least_cost"), "near")
+    spread = _rarest(near).filter((F.col("left") >= F.col("needed")) & enough(F.col("left"), F.col("cheapest")))
+    spread = materialise(spread.drop("needed", "cheapest"), "spread")
+    key = ["under", "difference"]
     facts = spread.groupBy(*key).agg(
         least_extra,
         apart.alias("apart"),
@@ -233,10 +251,6 @@ def _meeting(forms: DataFrame, labels: DataFrame, met: DataFrame | None, limit:
     )
     facts = materialise(facts.filter("apart AND others > 0").drop("apart"), "facts")
 
-    def enough(left: Column, cost: Column) -> Column:
-        """Whether so many common differences can be left that two nodes are linked."""
-        return F.coalesce(left * (p + q) >= cost, F.lit(False))
-
     # common differences are at most those left in the lists of both; a partner is linked to the leader or is not
     as_one = enough(F.least("left", "most_linked"), F.col("extra") + F.col("least_linked")) | (
         (F.col("others") > 1) & enough(F.least("left", "most_other"), F.col("extra") + F.col("least_other"))
@@ -270,6 +284,27 @@ def _meeting(forms: DataFrame, labels: DataFrame, met: DataFrame | None, limit:
     return few, many
 
 
+def _rarest(near: DataFrame) -> DataFrame:
+    """Each node of ``near`` with its differences that can be shared in a link looked for, the rarest first.
+
+    Those are the ones held under the same leader by nodes of two components, one of them not linked
+    to the leader. ``left`` counts a difference and those after it; ties go by the difference, so that
+    nodes under one leader have one order. What a node has to itself is left out, and
+    what a whole family has comes last, where few nodes still have enough left.
+    """
+    key = ["under", "difference"]
+    each = near.select("under", "node", "component", "linked", F.explode(F.concat("prefix", "rest")).alias("difference"))
+    lengths = each.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("length"), (F.min("component") < F.max("component")).alias("apart"), F.min("linked").alias("all_linked")
+    )
+    lengths = materialise(lengths.filter("apart AND NOT all_linked").select(*key, "length"), "lengths")
+    rest = F.array_sort(F.collect_list(F.struct("length", "difference")))
+    ranked = each.select("under", "node", "difference").join(lengths, key).groupBy("under", "node").agg(rest.alias("ranked"))
+    rows = near.drop("prefix", "rest").join(ranked, ["under", "node"])
+    placed = rows.select(*rows.columns, F.posexplode("ranked.difference").alias("place", "difference"))
+    return placed.withColumn("left", F.size("ranked") - F.col("place")).drop("ranked", "place")
+
+
 def compare(node: np.ndarray, leader: np.ndarray) -> dict:
     """Whether a set is linked to its leader's, and which differences from it it has to share with a partner.
 
@@ -279,8 +314,8 @@ def compare(node: np.ndarray, leader: np.ndarray) -> dict:
     that of the leader's set; with the leader itself if w <= (q-p)*size. Only pairs in which one is
     not linked to the leader have to be found. A set that is linked therefore needs a partner that is
     not, so s >= (w+1)/(p+q). One that is not needs s >= (w - (q-p)*size)/q, as v >= p*s. Sorted in
-    one order, additions first, two sets with s common differences share one among the first
-    ``number - s + 1`` of both.
+    one order, two sets with s common differences share one among the first ``number - s + 1`` of both;
+    ``prefix`` are these additions first, ``rest`` the others.
     """
     p, q = THRESHOLD
     added = np.setdiff1d(node, leader, assume_unique=True)
@@ -290,12 +325,14 @@ def compare(node: np.ndarray, leader: np.ndarray) -> dict:
     excess = weight - (q - p) * len(leader)
     needed = -(-(weight + 1) // (p + q)) if excess <= 0 else max(1, -(-excess // q))
     differences = np.concatenate([added, ~missing])
+    first = max(0, number - needed + 1)
     return {
         "linked": excess <= 0,
         "extra": excess,
         "cost": weight,
         "size": number,
-        "prefix": differences[: max(0, number - needed + 1)],
+        "prefix": differences[:first],
+        "rest": differences[first:],
     }
 
 
